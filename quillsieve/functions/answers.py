@@ -80,7 +80,7 @@ def parse_object(raw: pd.Series) -> pd.DataFrame:
 
 def parse_answer(answer: Column) -> Column:
     """Clean a raw answer and parse it. The thinking part stays outside of Python."""
-    return parse_object(text.answer_body(answer))
+    return text.evaluated_once(parse_object)(text.answer_body(answer))
 
 
 def merged(parsed: Column, field: str, default: Column) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quillsieve.functions.text import evaluated_once
 from quillsieve.operators.encoders import DEFAULT_ENCODER, EncoderSpec, in_batches, resolve_encoder
 from quillsieve.operators.heads import Head, load_heads
 from quillsieve.sizing import spread
@@ -53,7 +54,7 @@ def _score_texts(df: DataFrame, text: str, spec: EncoderSpec, outputs: Mapping[s
                 parts.append(pd.DataFrame({name: head.predict(vectors) for name, head in heads.items()}))
             yield pd.concat(parts, ignore_index=True) if parts else pd.DataFrame(columns=list(heads), dtype=float)
 
-    return _unpacked(df, score(F.col(text)), list(outputs))
+    return _unpacked(df, evaluated_once(score)(F.col(text)), list(outputs))
 
 
 def annotate(
@@ -107,7 +108,7 @@ def annotate_vectors(df: DataFrame, heads: Mapping[str, Head], vector: str = "em
         matrix = np.stack(vectors.to_numpy()).astype(np.float64)
         return pd.DataFrame({name: head.predict(matrix) for name, head in heads.items()})
 
-    return _unpacked(df, score(F.col(vector)), list(outputs))
+    return _unpacked(df, evaluated_once(score)(F.col(vector)), list(outputs))
 
 
 def passes(score: Column, threshold: float = 2) -> Column:

@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillsieve.functions.text import evaluated_once
 from quillsieve.sizing import spread
 
 
@@ -147,7 +148,7 @@ def embedding(text: Column, encoder_id: str, batch_size: int = 1000) -> Column:
             vectors = [row for part in in_batches(texts, batch_size) for row in encoder.encode(part)]
             yield pd.Series(vectors, dtype=object)
 
-    return embed(text)
+    return evaluated_once(embed)(text)
 
 
 def embed_documents(df: DataFrame, encoder_id: str, text: str = "text", name: str = "embedding", batch_size: int = 1000) -> DataFrame:

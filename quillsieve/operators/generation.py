@@ -49,11 +49,11 @@ def rejected_years(papers: DataFrame) -> DataFrame:
 
 def prepare(df: DataFrame, max_length: int, load_tokenizer: Callable[[], text.Tokenizer] | None = None) -> DataFrame:
     """Truncate ``text`` to the budget and add ``num_tokens``, counted after truncation."""
+    df = spread(df)
+    kept = [c for c in df.columns if c not in ("text", "num_tokens")]
     if load_tokenizer is None:
-        kept = [c for c in df.columns if c not in ("text", "num_tokens")]
         cut = df.select(*kept, F.slice(text.words(F.col("text")), 1, max_length).alias("_words"))
-        return cut.select(*kept, F.array_join("_words", " ").alias("text"), F.size("_words").cast("long").alias("num_tokens"))
-    kept = [c for c in df.columns if c not in ("text", "num_tokens")]
+        return cut.select(*kept, F.array_join("_words", " ").alias("text"), F.coalesce(F.size("_words"), F.lit(0)).cast("long").alias("num_tokens"))
     cut = df.select(*kept, text.truncate_tokens(F.col("text"), max_length, load_tokenizer).alias("_cut"))
     return cut.select(*kept, "_cut.text", "_cut.num_tokens")
 
@@ -97,7 +97,7 @@ def ask(df: DataFrame, task: TaskSpec, load_responder: Callable[[], Responder],
                 batch_no += 1
             yield pd.DataFrame(rows, columns=["response", "error", "task_no", "batch_no", "elapsed_s"])
 
-    asked = df.select("*", exchange.asNondeterministic()(task.user()).alias("_exchange"))
+    asked = df.select("*", text.evaluated_once(exchange)(task.user()).alias("_exchange"))
     return asked.select(*df.columns, "_exchange.*")
 
 
@@ -171,7 +171,7 @@ def generate(
 ) -> DataFrame:
     """Truncate, ask and parse: one result row per input row."""
     counter = count_words if load_tokenizer is None else (lambda t, tok=load_tokenizer(): len(tok.encode(t)))
-    ready = prepare(spread(df), task.input_budget(counter, max_tokens), load_tokenizer)
+    ready = prepare(df, task.input_budget(counter, max_tokens), load_tokenizer)
     return parse_responses(ask(ready, task, load_responder, batch_size, on_error), task, model, language, load_tokenizer)
 
 

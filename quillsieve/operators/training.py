@@ -8,11 +8,13 @@ the driver, which holds nothing but the weights, takes an Adam step.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from quillsieve.functions.answers import score_integer
@@ -123,6 +125,29 @@ def mini_batches(examples: DataFrame, steps: int, slots: int, seed: int, vector:
     return materialise(dealt.repartition("batch", "slot"), "batches", partition_by=("batch",))
 
 
+_PARTIAL = "slot int, num_rows long, loss double, flat binary"
+
+
+def _partial_gradients(batch: DataFrame, sent: Broadcast, slots: int) -> list[Row]:
+    """Gradient sums of one mini-batch, a row per slot. Slots hold a bounded number of rows."""
+
+    def partial(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("i")
+        loss, gradients = gradient_sums(sent.value, np.stack(rows["x"].to_numpy()), rows["y"].to_numpy())
+        flat = np.concatenate([g.ravel() for g in gradients]).tobytes()
+        return pd.DataFrame({"slot": [rows["slot"].iloc[0]], "num_rows": [len(rows)], "loss": [loss], "flat": [flat]})
+
+    def whole(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = list(parts)
+        if rows:
+            yield partial(pd.concat(rows))
+
+    if slots == 1:
+        # A small batch is one file, so one task can take it without a shuffle.
+        return batch.coalesce(1).mapInPandas(whole, _PARTIAL).collect()
+    return batch.groupBy("slot").applyInPandas(partial, _PARTIAL).collect()
+
+
 def train_head(
     examples: DataFrame,
     name: str,
@@ -158,18 +183,7 @@ def train_head(
         for step in order.permutation(steps):
             sent = spark.sparkContext.broadcast(weights)
 
-            def partial(rows: pd.DataFrame) -> pd.DataFrame:
-                rows = rows.sort_values("i")
-                loss, gradients = gradient_sums(sent.value, np.stack(rows["x"].to_numpy()), rows["y"].to_numpy())
-                flat = np.concatenate([g.ravel() for g in gradients]).tobytes()
-                return pd.DataFrame({"slot": [rows["slot"].iloc[0]], "num_rows": [len(rows)], "loss": [loss], "flat": [flat]})
-
-            parts = (
-                batches.filter(F.col("batch") == int(step))
-                .groupBy("slot")
-                .applyInPandas(partial, "slot int, num_rows long, loss double, flat binary")
-                .collect()
-            )
+            parts = _partial_gradients(batches.filter(F.col("batch") == int(step)), sent, slots)
             sent.unpersist()
             if not parts:
                 continue

@@ -18,7 +18,7 @@ from quillsieve.sources.readers import run_lines
 
 #: Spreads the heads' scores over the classes.
 SCALE = 6
-EPOCHS = 5
+EPOCHS = 6
 PREDICTED = {n: f"score_{n}" for n in fx.HEAD_NAMES}
 
 
@@ -74,7 +74,7 @@ def rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _train(spark: SparkSession, sf_dir: str):
     rows = trainable(indexed(spark, sf_dir, "embeddings").withColumn("score", F.col("label")))
-    return rows, *train_head(rows, "trained", "hashing-64", hidden_dim=16, rate=0.1, batch_size=64, epochs=EPOCHS)
+    return rows, *train_head(rows, "trained", "hashing-64", hidden_dim=16, rate=0.2, batch_size=128, epochs=EPOCHS)
 
 
 def train_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,6 +174,6 @@ SELECT run_id, line_no, score, CASE WHEN i < floor(0.9 * total) THEN 'train' ELS
 FROM placed WHERE score < 5""",
     "rejected_labels": f"WITH {_LABEL_LINES} SELECT count(*) FILTER (WHERE score IS NULL) AS rejected FROM pairs",
     "train_progress": f"""
-SELECT e.epoch, count(*) AS rows_seen, true AS beats_mean FROM embeddings, (SELECT unnest(range({EPOCHS})) AS epoch) e
+SELECT CAST(e.epoch AS INTEGER) AS epoch, count(*) AS rows_seen, true AS beats_mean FROM embeddings, (SELECT unnest(range({EPOCHS})) AS epoch) e
 WHERE greatest(0, least(5, label)) <> 5 GROUP BY e.epoch""",
 }

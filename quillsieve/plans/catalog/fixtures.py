@@ -173,7 +173,7 @@ RUN_COLUMNS = """concat('run', doc_id % 4) AS run_id, doc_id AS line_no, concat(
 
 #: The same lines as the explorer must see them, in DuckDB.
 RUN_LINES_SQL = f"""
-raw_lines AS (SELECT {RUN_COLUMNS}, [lang, source] AS keywords, 1700000000.0 + 3600 * (doc_id % 4) AS file_ts FROM documents),
+raw_lines AS (SELECT {RUN_COLUMNS}, [lang, source] AS keywords, CAST(1700000000 + 3600 * (doc_id % 4) AS DOUBLE) AS file_ts FROM documents),
 lines AS (
   SELECT *, reasoning IS NOT NULL AS complete, replace(score_json, '"', '') AS score_raw,
          CASE WHEN score_json LIKE '"%' THEN 'string' ELSE 'number' END AS score_json_type

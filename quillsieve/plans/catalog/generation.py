@@ -170,6 +170,6 @@ SELECT event_type, round(avg(CASE WHEN elapsed_s > 0 THEN num_rows / elapsed_s E
 SELECT event_id, CAST(sum(CAST(props->>'$.k' AS BIGINT)) OVER (ORDER BY event_id) AS BIGINT) AS total_tokens FROM events""",
     "label_and_resume": f"""
 WITH {_asked_sql(SCORE)}
-SELECT id, {_RUN_ID} AS run_id, 1 AS num_results, CASE WHEN failed THEN 0.0 ELSE CAST(n % 6 AS DOUBLE) END AS score,
+SELECT id, {_RUN_ID} AS run_id, CAST(1 AS BIGINT) AS num_results, CASE WHEN failed THEN 0.0 ELSE CAST(n % 6 AS DOUBLE) END AS score,
        CASE WHEN failed THEN '' ELSE digest END AS reasoning, 'arb_Arab' AS language FROM asked""",
 }

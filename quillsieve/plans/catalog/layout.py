@@ -117,7 +117,7 @@ QUERIES = {
 }
 
 _INDEXED = "indexed AS (SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS row_index, count(*) OVER () AS total FROM documents)"
-_EQUAL = f"least(row_index // (total // {NUM_SHARDS}), {NUM_SHARDS - 1})"
+_EQUAL = f"CAST(least(row_index // (total // {NUM_SHARDS}), {NUM_SHARDS - 1}) AS INTEGER)"
 
 ORACLES = {
     "take_n": "SELECT doc_id, lang, md5(text) AS text_md5 FROM documents ORDER BY doc_id LIMIT 100",
@@ -125,9 +125,9 @@ ORACLES = {
     "shard_contiguous": f"""
 WITH {_INDEXED},
 sized AS (SELECT *, total // {NUM_SHARDS} AS small, total % {NUM_SHARDS} AS larger FROM indexed)
-SELECT doc_id, CASE WHEN row_index < larger * (small + 1) THEN row_index // (small + 1)
-  ELSE larger + (row_index - larger * (small + 1)) // small END AS shard FROM sized""",
-    "shard_modulo": f"WITH {_INDEXED} SELECT doc_id, row_index % {NUM_SHARDS} AS shard FROM indexed",
+SELECT doc_id, CAST(CASE WHEN row_index < larger * (small + 1) THEN row_index // (small + 1)
+  ELSE larger + (row_index - larger * (small + 1)) // small END AS INTEGER) AS shard FROM sized""",
+    "shard_modulo": f"WITH {_INDEXED} SELECT doc_id, CAST(row_index % {NUM_SHARDS} AS INTEGER) AS shard FROM indexed",
     "reshard_equal": f"WITH {_INDEXED} SELECT doc_id, row_index, {_EQUAL} AS shard FROM indexed",
     "reshard_files": f"WITH {_INDEXED} SELECT doc_id, row_index, {_EQUAL} AS shard, md5(text) AS text_md5 FROM indexed",
     "reshard_parity": f"""

@@ -10,6 +10,7 @@ from quillsieve.operators.generation import parse_responses, prepare, rejected_y
 from quillsieve.operators.tasks import CATEGORIES, RESOURCE_CATEGORY, SCORE, SYNTHESIZE, TRANSLATE, count_words
 from quillsieve.plans.catalog import fixtures as fx
 from quillsieve.session import new_folder
+from quillsieve.sizing import spread
 from quillsieve.sources.readers import read_papers
 
 #: Tight enough to cut many documents.
@@ -21,7 +22,7 @@ def quoted(value: str) -> str:
 
 
 def word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fx.table(spark, sf_dir, "documents").select("doc_id", text.word_count(F.col("text")).cast("long").alias("num_words"))
+    return spread(fx.table(spark, sf_dir, "documents")).select("doc_id", text.word_count(F.col("text")).cast("long").alias("num_words"))
 
 
 def truncate_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,7 +33,7 @@ def truncate_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def token_budgets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that fit the input budget of each task."""
-    counted = fx.table(spark, sf_dir, "documents").select(text.word_count(F.col("text")).alias("n"))
+    counted = spread(fx.table(spark, sf_dir, "documents")).select(text.word_count(F.col("text")).alias("n"))
     fits = [F.count_if(F.col("n") <= t.input_budget(count_words)).alias(f"fits_{t.name}") for t in (SCORE, RESOURCE_CATEGORY, SYNTHESIZE, TRANSLATE)]
     return counted.agg(*fits)
 
@@ -99,7 +100,7 @@ def parse_category_response(spark: SparkSession, sf_dir: str) -> DataFrame:
 def extract_output_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Answers with the object inside an output tag, for some broken over lines or missing."""
     wrapped = fx.table(spark, sf_dir, "documents").withColumn("response", F.expr(_TAGGED))
-    tagged = wrapped.withColumn("_p", answers.parse_object(text.output_tag(F.col("response"))))
+    tagged = wrapped.withColumn("_p", text.evaluated_once(answers.parse_object)(text.output_tag(F.col("response"))))
     parsed = F.col("_p")
     found = parsed["ok"]
     return tagged.select(

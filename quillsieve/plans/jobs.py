@@ -30,7 +30,6 @@ from quillsieve.operators.training import collect_labels, train_head, trainable
 from quillsieve.operators.annotate import annotate_vectors
 from quillsieve.operators.evaluate import validate
 from quillsieve.session import materialise
-from quillsieve.sizing import spread
 from quillsieve.sources.readers import read_parquet_folder, read_runs
 from quillsieve.sources.writers import DEFAULT_CODEC, threshold_folder, write_annotated, write_results, write_shards
 
@@ -74,10 +73,13 @@ def filter_corpus(
 
 
 def reshard_corpus(spark: SparkSession, source: str, out: str, num_shards: int, codec: str = DEFAULT_CODEC) -> DataFrame:
-    """Rewrite a folder as equal contiguous shards and return the comparison of both."""
-    indexed = read_parquet_indexed(spark, source)
+    """Rewrite a folder as equal contiguous shards and return the comparison of both.
+
+    The shard of an earlier layout is replaced.
+    """
+    indexed = read_parquet_indexed(spark, source).drop("shard")
     write_shards(indexed, out, indexed.count(), num_shards, codec)
-    return parity(read_parquet_folder(spark, source), spark.read.parquet(out).drop("shard"))
+    return parity(read_parquet_folder(spark, source).drop("shard"), spark.read.parquet(out).drop("shard"))
 
 
 def label_corpus(
@@ -111,7 +113,7 @@ def label_corpus(
     if done is not None:
         df = resume(df, done)
     count = count_words if load_tokenizer is None else _counter(load_tokenizer)
-    ready = prepare(spread(df), task.input_budget(count, max_tokens), load_tokenizer)
+    ready = prepare(df, task.input_budget(count, max_tokens), load_tokenizer)
     answered = materialise(ask(ready, task, load_responder, batch_size, on_error), "answers")
     results = materialise(parse_responses(answered, task, model, language, load_tokenizer), "results")
     partitions = [c for c in ("run_id", "source_file") if c in results.columns]

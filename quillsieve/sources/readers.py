@@ -13,6 +13,7 @@ from quillsieve.functions import text
 from quillsieve.functions.answers import as_keywords, as_text, json_type, strict_object
 from quillsieve.operators.position import file_row_counts, take_rows
 from quillsieve.schemas import PAPER, RUN_LINE
+from quillsieve.sizing import spread
 
 
 def read_parquet_folder(spark: SparkSession, folder: str, glob: str = "*.parquet") -> DataFrame:
@@ -88,7 +89,8 @@ def parse_run_line(raw: pd.Series) -> pd.DataFrame:
 def run_lines(raw: DataFrame, value: str = "value") -> DataFrame:
     """Parsed result lines; blank lines and lines that are no JSON object with a model are dropped."""
     kept = [c for c in raw.columns if c != value]
-    parsed = raw.filter(text.strip(F.col(value)) != "").select(*kept, parse_run_line(F.col(value)).alias("_line"))
+    present = spread(raw).filter(text.strip(F.col(value)) != "")
+    parsed = present.select(*kept, text.evaluated_once(parse_run_line)(F.col(value)).alias("_line"))
     return parsed.select(*kept, "_line.*").filter("has_model_language")
 
 
