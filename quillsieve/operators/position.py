@@ -18,6 +18,9 @@ from quillsieve.sizing import SINGLE_TASK_ROWS, has_at_most, small_side
 
 _LOW_BITS = (1 << 33) - 1
 
+#: Whole rows a top-k may keep in every task.
+TOP_K_ROWS = 10_000
+
 
 def file_row_counts(scan: DataFrame) -> DataFrame:
     """Rows per parquet file of a scan: ``file_path, num_rows``. Reads no column."""
@@ -94,17 +97,34 @@ def running_total(df: DataFrame, order_by: Sequence[Column | str], weight: str,
     return rows.withColumn(name, F.col("_start") + F.col("_within")).drop("_part", "_seq", "_start", "_within")
 
 
-def take_rows(df: DataFrame, n: int, order_by: Sequence[Column | str]) -> DataFrame:
-    """The first ``n`` rows in the given order; none for ``n <= 0``.
+def take_rows(df: DataFrame, n: int, order_by: Sequence[str], descending: bool = False) -> DataFrame:
+    """The first ``n`` rows in the order of the named columns; none for ``n <= 0``.
 
-    A short list is a top-k, which keeps ``n`` rows per task. A long one would pass through a
-    single task, so it is cut by position instead.
+    A short list is a top-k of whole rows. For a long one only the order columns are sorted; the
+    rows are then picked from the scan, so texts neither pile up in one task nor get sorted.
+    Which of the rows that tie on the last place are taken is open.
     """
     if n <= 0:
         return df.limit(0)
-    if n <= SINGLE_TASK_ROWS // 20:
-        return df.orderBy(*order_by).limit(n)
-    return with_ordered_index(df, order_by, name="_take").filter(F.col("_take") < n).drop("_take")
+    order = [F.desc(c) if descending else F.asc(c) for c in order_by]
+    if n <= TOP_K_ROWS:
+        return df.orderBy(*order).limit(n)
+    keys = df.select(*order_by)
+    if n <= SINGLE_TASK_ROWS:
+        first = keys.orderBy(*order).limit(n)
+    else:
+        first = with_ordered_index(keys, order, name="_take").filter(F.col("_take") < n).drop("_take")
+    first = materialise(first, "first")
+    last = first.orderBy(*[F.asc(c) if descending else F.desc(c) for c in order_by]).first()
+    if last is None:
+        return df.limit(0)
+    on_last, match = F.lit(True), F.lit(True)
+    for i, c in enumerate(order_by):
+        on_last = on_last & F.col(c).eqNullSafe(F.lit(last[c]))
+        match = match & F.col(c).eqNullSafe(F.col(f"_k{i}"))
+    ahead = first.filter(~on_last).select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(order_by)]).distinct()
+    taken = df.join(small_side(ahead), match, "left_semi")
+    return taken.unionByName(df.filter(on_last).limit(first.filter(on_last).count()))
 
 
 def row_range(df: DataFrame, start: int, end: int, index: str = "row_index") -> DataFrame:

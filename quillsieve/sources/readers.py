@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,7 +26,7 @@ def read_dataset(spark: SparkSession, name: str, config: str, split: str = "trai
     return read_parquet_folder(spark, f"{name}/{config}/{split}")
 
 
-def read_first_rows(spark: SparkSession, files: Sequence[str], n: int, order_by: Sequence[Column | str]) -> DataFrame:
+def read_first_rows(spark: SparkSession, files: Sequence[str], n: int, order_by: Sequence[str]) -> DataFrame:
     """The first ``n`` rows of the given files in the given order."""
     return take_rows(spark.read.parquet(*files), n, order_by)
 
