@@ -5,6 +5,7 @@ All of it is built from Spark's own functions, apart from truncation with a subw
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
@@ -136,6 +137,11 @@ def run_key(prompt: str, model: Column) -> Column:
     return F.substring(F.sha2(F.concat(F.lit(prompt), model), 256), 1, 10)
 
 
+def run_key_of(prompt: str, model: str) -> str:
+    """The same for one known model."""
+    return hashlib.sha256((prompt + model).encode()).hexdigest()[:10]
+
+
 def checkpoint_name(base_model: Column, distilled_model: Column) -> Column:
     """Folder name of a head: encoder and labelling model, slashes escaped."""
     escape = lambda c: F.replace(c, F.lit("/"), F.lit("__"))

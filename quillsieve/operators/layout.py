@@ -89,13 +89,12 @@ VALIDATION_NAMES = ("validation", "val", "test")
 def validation_rows(df: DataFrame, split: str = "split", index: str = INDEX, share: float = 0.2) -> DataFrame:
     """The validation rows: a split of that name, else the first fifth of the training rows.
 
-    ``index`` must count the training rows from 0. As only a name is looked up, each split needs
-    one row to be found.
+    ``index`` must count the training rows from 0.
     """
+    present = df.filter(F.col(split).isin(*VALIDATION_NAMES)).select(split).distinct().collect()
     for wanted in VALIDATION_NAMES:
-        rows = df.filter(F.col(split) == wanted)
-        if not rows.isEmpty():
-            return rows
+        if (wanted,) in present:
+            return df.filter(F.col(split) == wanted)
     train = df.filter(F.col(split) == "train")
     return train.filter(F.col(index) < int(share * train.count()))
 

@@ -46,12 +46,15 @@ def trainable(pairs: DataFrame) -> DataFrame:
 
 
 def collect_labels(lines: DataFrame, model: str, train_share: float = 0.9) -> DataFrame:
-    """Labels of a model with their ``split``, the first rows by run and line for training."""
-    pairs = label_pairs(lines, model).filter(F.col("score").isNotNull())
-    indexed = with_ordered_index(pairs, ["run_id", "line_no"])
-    total = indexed.count()
+    """Labels of a model with their ``split``, the first rows by run and line for training.
+
+    The parsed labels are written once, as the sort samples its input before it reads it.
+    """
+    pairs = materialise(label_pairs(lines, model).filter(F.col("score").isNotNull()), "labels")
+    total = pairs.count()
     if total == 0:
         raise ValueError(f"No dataset found for {model}")
+    indexed = with_ordered_index(pairs, ["run_id", "line_no"])
     return indexed.withColumn("split", positional_split(F.col(INDEX), total, train_share))
 
 

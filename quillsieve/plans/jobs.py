@@ -7,10 +7,11 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillsieve.functions.text import Tokenizer, run_key
-from quillsieve.operators.annotate import annotate, compute_score, threshold_filter
+from quillsieve.functions.text import Tokenizer, run_key_of
+from quillsieve.operators.annotate import annotate, annotate_vectors, compute_score, threshold_filter
 from quillsieve.operators.clusters import cluster_table, place_keywords
 from quillsieve.operators.encoders import DEFAULT_ENCODER, embed_documents
+from quillsieve.operators.evaluate import validate
 from quillsieve.operators.generation import (
     Responder,
     ask,
@@ -27,8 +28,6 @@ from quillsieve.operators.position import read_parquet_indexed, take_rows
 from quillsieve.operators.runs import pages, requests, run_summaries
 from quillsieve.operators.tasks import MAX_TOKENS, TaskSpec, count_words
 from quillsieve.operators.training import collect_labels, train_head, trainable
-from quillsieve.operators.annotate import annotate_vectors
-from quillsieve.operators.evaluate import validate
 from quillsieve.session import materialise
 from quillsieve.sources.readers import read_parquet_folder, read_runs
 from quillsieve.sources.writers import DEFAULT_CODEC, threshold_folder, write_annotated, write_results, write_shards
@@ -105,9 +104,9 @@ def label_corpus(
     spark = df.sparkSession
     if task.kind == "category":
         df = resource_papers(df)
-    df = df.withColumn("run_id", run_key(task.prompt, F.lit(model)))
-    run = df.select("run_id").first()
-    done = _written_ids(spark, out, run["run_id"]) if run and not overwrite else None
+    run_id = run_key_of(task.prompt, model)
+    df = df.withColumn("run_id", F.lit(run_id))
+    done = None if overwrite else _written_ids(spark, out, run_id)
     if num_examples is not None:
         df = take_rows(df, num_examples, [order_by])
     if done is not None:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 #: Rows a side may have before it is no longer broadcast. Sides passed here are narrow
 #: (a few keys and numbers), so this stays in the tens of megabytes.
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS = 500_000
 #: Rows a single task may order in memory or on its local disk.
 SINGLE_TASK_ROWS = 1_000_000
 #: Bytes of input one Python task should get before spreading stops to be worthwhile.
