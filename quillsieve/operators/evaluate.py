@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from quillsieve.functions.display import clamp, round_half_even
 from quillsieve.operators.position import average_ranks
+from quillsieve.session import materialise
 from quillsieve.sizing import small_side
 
 
@@ -45,10 +46,17 @@ def macro_f1(histogram: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def spearman(histogram: DataFrame, by: Sequence[str] = (), on_constant: float | None = None, bounded: bool = False) -> DataFrame:
-    """Correlation of average-tie ranks; ``on_constant`` where one side has a single value.
+    """Correlation of average-tie ranks.
 
-    Only distinct values are ranked. ``bounded`` states that each group has few of them.
+    ``on_constant`` is given where it is undefined: one side has a single value, or a NaN. The
+    histogram is written first, since each side's ranks read it again. ``bounded`` states that
+    each group has few distinct values.
     """
+    return _correlation(materialise(histogram, "pairs"), by, on_constant, bounded)
+
+
+def _correlation(histogram: DataFrame, by: Sequence[str], on_constant: float | None, bounded: bool) -> DataFrame:
+    """Spearman correlation from a stored histogram."""
     joined = histogram
     for side in ("truth", "prediction"):
         values = histogram.groupBy(*by, side).agg(F.sum("n").alias("_n"))
@@ -58,13 +66,13 @@ def spearman(histogram: DataFrame, by: Sequence[str] = (), on_constant: float |
     sums = joined.groupBy(*by).agg(
         F.sum(n).cast("double").alias("rows"),
         F.sum(n * x * y).alias("xy"), F.sum(n * x * x).alias("xx"), F.sum(n * y * y).alias("yy"),
-        (F.min(x) == F.max(x)).alias("flat_x"), (F.min(y) == F.max(y)).alias("flat_y"),
+        ((F.min(x) == F.max(x)) | (F.min(y) == F.max(y)) | F.bool_or(F.isnan("truth") | F.isnan("prediction"))).alias("undefined"),
     )
     # Average ranks have mean (n + 1) / 2 on either side.
     squared_mean = F.col("rows") * F.pow((F.col("rows") + 1) / 2, F.lit(2))
     covariance = F.col("xy") - squared_mean
     spread = F.sqrt((F.col("xx") - squared_mean) * (F.col("yy") - squared_mean))
-    value = F.when(F.col("flat_x") | F.col("flat_y"), F.lit(on_constant).cast("double")).otherwise(F.try_divide(covariance, spread))
+    value = F.when(F.col("undefined"), F.lit(on_constant).cast("double")).otherwise(F.try_divide(covariance, spread))
     return sums.select(*by, value.alias("spearman"))
 
 
@@ -91,11 +99,11 @@ def leaderboard(df: DataFrame, truth: str, predictions: Mapping[str, str]) -> Da
     cells = usable.groupBy("head", class_of(F.col("_truth")).alias("truth"), class_of(F.col("_score")).alias("prediction")).agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.pow(F.col("_score") - F.col("_truth"), F.lit(2))).alias("error")
     )
-    # One row per head and pair of classes: kept, because three measures read it.
-    cells = cells.persist()
+    # One row per head and pair of classes, written because three measures read it.
+    cells = materialise(cells, "cells")
     pairs = cells.select("head", "truth", "prediction", "n")
     loss = cells.groupBy("head").agg((F.sum("error") / F.sum("n")).alias("loss"))
-    board = macro_f1(pairs, ["head"]).join(spearman(pairs, ["head"]), "head").join(loss, "head")
+    board = macro_f1(pairs, ["head"]).join(_correlation(pairs, ["head"], None, False), "head").join(loss, "head")
     return board.orderBy(F.desc_nulls_last("spearman"), "head")
 
 
@@ -105,15 +113,14 @@ def validate(df: DataFrame, truth: str, prediction: str, index: str | None = Non
     With ``index`` the measures are taken per batch of ``batch_size`` rows and then averaged,
     as a training loop reports them; a batch with a constant side counts as correlation 0.
     """
-    t, p = F.col(truth).cast("double"), F.col(prediction).cast("double")
-    if index is None:
-        by, rows = ["_all"], df.withColumn("_all", F.lit(0))
-    else:
-        by, rows = ["_batch"], df.withColumn("_batch", F.floor(F.col(index) / F.lit(batch_size)))
-    bounded = index is not None
-    loss = rows.groupBy(*by).agg(squared_error(t, p).alias("loss"))
-    f1 = macro_f1(pair_histogram(rows, t, class_of(p, clamped=True), by), by)
-    correlation = spearman(pair_histogram(rows, t, p, by), by, on_constant=0.0, bounded=bounded)
+    batch = F.lit(0).cast("long") if index is None else F.floor(F.col(index) / F.lit(batch_size))
+    by, t, p = ["batch"], F.col("truth"), F.col("prediction")
+    scored = df.select(batch.alias("batch"), F.col(truth).cast("double").alias("truth"), F.col(prediction).cast("double").alias("prediction"))
+    # Three narrow columns, written so that the scores are computed once for all measures.
+    scored = materialise(scored.filter("truth IS NOT NULL AND prediction IS NOT NULL"), "scored")
+    loss = scored.groupBy(*by).agg(squared_error(t, p).alias("loss"))
+    f1 = macro_f1(pair_histogram(scored, t, class_of(p, clamped=True), by), by)
+    correlation = _correlation(pair_histogram(scored, t, p, by), by, 0.0, bounded=index is not None)
     return loss.join(f1, by).join(correlation, by).agg(
         F.avg("loss").alias("loss"), F.avg("f1").alias("f1"), F.avg("spearman").alias("spearman")
     )

@@ -52,6 +52,8 @@ def test_spearman_of_a_constant_side(spark):
     assert evaluate.spearman(pairs).first().spearman is None
     assert evaluate.spearman(pairs, on_constant=0.0).first().spearman == 0.0
     assert math.isnan(evaluate.spearman(pairs, on_constant=float("nan")).first().spearman)
+    pairs = evaluate.pair_histogram(frame(spark, [1, 2, 3], [1, 2, float("nan")]), F.col("t"), F.col("p"))
+    assert evaluate.spearman(pairs, on_constant=0.0).first().spearman == 0.0
 
 
 def test_validation_by_batch_is_the_mean_of_batches(spark):
