@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,8 +26,8 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def head(k: int, dim: int = 64, name: str | None = None) -> Head:
     """Head ``k`` by formula, so that SQL can compute with the same weights.
 
-    The seventh in the last bias keeps scores of short texts, which are short binary fractions,
-    off the borders of rounding.
+    The part of pi in the last bias keeps scores off the borders of rounding: those of many texts
+    are short fractions otherwise.
     """
     h, i = np.arange(HIDDEN)[:, None], np.arange(dim)[None, :]
     units = np.arange(HIDDEN)
@@ -35,7 +37,7 @@ def head(k: int, dim: int = 64, name: str | None = None) -> Head:
         (((7 * i + 13 * h + k) % 17) - 8) / 16,
         ((units % 3) - 1) / 10,
         (((units + k) % 5) - 2) / 4,
-        k / 2 + 1 / 7,
+        k / 2 + math.pi / 20,
     )
 
 
@@ -50,7 +52,7 @@ def w1(i: str) -> str:
 
 B1 = "(((h % 3) - 1) / 10.0)"
 W2 = "((((h + k) % 5) - 2) / 4.0)"
-B2 = "({k} / 2.0 + CAST(1 AS DOUBLE) / 7)"
+B2 = "({k} / 2.0 + pi() / 20)"
 
 
 def score_names(prefix: str = "score_") -> str:
