@@ -44,7 +44,7 @@ def equal_shard(index: Column, total: int, num_shards: int) -> Column:
     return F.least(F.floor(index / F.lit(per_shard)), F.lit(num_shards - 1)).cast("int")
 
 
-def place_rows(df: DataFrame, shard: Column, start: Column, biggest: int, num_shards: int, rows_per_task: int = 500_000) -> DataFrame:
+def place_rows(df: DataFrame, shard: Column, start: Column, biggest: int, num_shards: int, rows_per_task: int = 200_000) -> DataFrame:
     """Add ``shard``, as five digits, and move each contiguous run of rows to the task that writes it.
 
     ``start`` is the first position of a row's shard and ``biggest`` the most positions a shard
@@ -62,14 +62,14 @@ def place_rows(df: DataFrame, shard: Column, start: Column, biggest: int, num_sh
     )
 
 
-def place_equal_shards(df: DataFrame, total: int, num_shards: int, rows_per_task: int = 500_000) -> DataFrame:
+def place_equal_shards(df: DataFrame, total: int, num_shards: int, rows_per_task: int = 200_000) -> DataFrame:
     """Place rows in equal shards, the remainder in the last."""
     per_shard = total // num_shards
     shard = equal_shard(F.col(INDEX), total, num_shards)
     return place_rows(df, shard, shard * F.lit(per_shard), per_shard + total % num_shards, num_shards, rows_per_task)
 
 
-def place_contiguous_shards(df: DataFrame, total: int, num_shards: int, rows_per_task: int = 500_000) -> DataFrame:
+def place_contiguous_shards(df: DataFrame, total: int, num_shards: int, rows_per_task: int = 200_000) -> DataFrame:
     """Place rows in contiguous, nearly equal shards."""
     small, larger = divmod(total, num_shards)
     shard = contiguous_shard(F.col(INDEX), total, num_shards)

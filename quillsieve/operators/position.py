@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillsieve.session import materialise
-from quillsieve.sizing import SINGLE_TASK_ROWS, has_at_most, small_side
+from quillsieve.sizing import SINGLE_TASK_ROWS, has_at_most, partitions_for, small_side
 
 _LOW_BITS = (1 << 33) - 1
 
@@ -43,9 +43,12 @@ def read_parquet_indexed(spark: SparkSession, *paths: str, glob: str = "*.parque
 
 
 def _sorted_and_placed(df: DataFrame, order_by: Sequence[Column | str]) -> DataFrame:
-    """``df`` sorted by range and written once, with its task ``_part`` and position ``_seq`` there."""
+    """``df`` sorted by range and written once, with its task ``_part`` and position ``_seq`` there.
+
+    The sort samples its input first, so pass a stored table where that is costly to compute.
+    """
     placed = (
-        df.repartitionByRange(*order_by)
+        df.repartitionByRange(partitions_for(df), *order_by)
         .sortWithinPartitions(*order_by)
         .select(
             "*",

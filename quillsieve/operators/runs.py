@@ -32,6 +32,8 @@ def cap_lines(lines: DataFrame, cap: int = MAX_REQUESTS) -> DataFrame:
     """
     complete = lines.filter("complete").select("run_id", "line_no")
     long_runs = complete.groupBy("run_id").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= cap).select("run_id")
+    if long_runs.isEmpty():
+        return lines
     slot = F.pmod(F.xxhash64("line_no"), F.lit(_SLOTS))
     first = lambda w: F.row_number().over(w)
     candidates = (

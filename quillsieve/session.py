@@ -26,9 +26,17 @@ RUNTIME_SETTINGS = {
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to an existing session."""
+    """Apply the runtime settings to an existing session.
+
+    On a cluster shuffles start with several partitions per core, which adaptive execution
+    merges where they turn out small.
+    """
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
+    if not spark.sparkContext.master.startswith("local"):
+        configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        wanted = max(configured, 4 * spark.sparkContext.defaultParallelism)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
     return spark
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,8 +12,12 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 500_000
 #: Rows a single task may order in memory or on its local disk.
 SINGLE_TASK_ROWS = 1_000_000
-#: Bytes of input one Python task should get before spreading stops to be worthwhile.
+#: Bytes of input a task should get, by the planner's estimate.
 SPLIT_BYTES = 128 * 1024 * 1024
+#: Bytes of input beyond which rows are never dealt out anew just to fill the cores.
+SPREAD_BYTES = 16 * 1024 * 1024 * 1024
+#: Partitions of one shuffle the driver can keep track of.
+MAX_PARTITIONS = 200_000
 
 
 def has_at_most(df: DataFrame, rows: int) -> bool:
@@ -19,6 +25,20 @@ def has_at_most(df: DataFrame, rows: int) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Size of the result as the planner estimates it."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def partitions_for(df: DataFrame) -> int:
+    """Partitions for an explicit repartition: the session's number, more if the data is larger.
+
+    Adaptive execution merges small partitions but cannot cut those of a requested layout.
+    """
+    configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(configured, min(math.ceil(estimated_bytes(df) / SPLIT_BYTES), MAX_PARTITIONS))
+
+
 def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Mark a join side for broadcast if it is counted to be small, else leave it alone.
 
@@ -34,7 +54,5 @@ def spread(df: DataFrame) -> DataFrame:
     A file with one row group is one task however many cores there are. Inputs with at least
     one full split per core are left as they are: shuffling them would cost more than it gains.
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores) if size < cores * SPLIT_BYTES else df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if estimated_bytes(df) < min(cores * SPLIT_BYTES, SPREAD_BYTES) else df

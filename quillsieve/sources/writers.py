@@ -33,7 +33,7 @@ def threshold_folder(out: str, threshold: float, config: str, split: str) -> str
     return f"{out}_threshold_{threshold:g}/data/{config}/{split}"
 
 
-def write_shards(df: DataFrame, folder: str, total: int, num_shards: int, codec: str = DEFAULT_CODEC, mode: str = "error", rows_per_task: int = 500_000) -> None:
+def write_shards(df: DataFrame, folder: str, total: int, num_shards: int, codec: str = DEFAULT_CODEC, mode: str = "error", rows_per_task: int = 200_000) -> None:
     """Write rows that carry ``row_index`` as equal contiguous shards, one folder each.
 
     Files sort in row order by path. A shard of more than ``rows_per_task`` rows is written as

@@ -35,8 +35,9 @@ def process_files(
     """Apply ``step`` to every parquet file not yet seen and append the results.
 
     A micro-batch writes one ``batch_id`` folder and replaces it if it is run again, so a restart
-    neither loses nor repeats rows. With ``key``, rows whose key an earlier batch has written are
-    left out before ``step`` runs. Stops when all present files are done.
+    neither loses nor repeats rows, and needs no look at earlier results. Give ``key`` only if the
+    same document can arrive in several files: each batch then reads all keys written so far and
+    leaves those rows out before ``step`` runs. Stops when all present files are done.
     """
     reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
     if files_per_batch is not None:
