@@ -48,7 +48,7 @@ def _sorted_and_placed(df: DataFrame, order_by: Sequence[Column | str]) -> DataF
     The sort samples its input first, so pass a stored table where that is costly to compute.
     """
     placed = (
-        df.repartitionByRange(partitions_for(df), *order_by)
+        df.repartitionByRange(*partitions_for(df), *order_by)
         .sortWithinPartitions(*order_by)
         .select(
             "*",

@@ -126,7 +126,7 @@ def mini_batches(examples: DataFrame, steps: int, slots: int, seed: int, vector:
         F.pmod(F.xxhash64(F.col(index), F.lit(seed)), F.lit(steps)).cast("int").alias("batch"),
         F.pmod(F.xxhash64(F.col(index), F.lit(seed + 1)), F.lit(slots)).cast("int").alias("slot"),
     ).filter("x IS NOT NULL AND y IS NOT NULL")
-    return materialise(dealt.repartition(partitions_for(dealt), "batch", "slot"), "batches", partition_by=("batch",))
+    return materialise(dealt.repartition(*partitions_for(dealt), "batch", "slot"), "batches", partition_by=("batch",))
 
 
 _PARTIAL = "slot int, num_rows long, loss double, flat binary"

@@ -74,7 +74,7 @@ def rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _train(spark: SparkSession, sf_dir: str):
     rows = trainable(indexed(spark, sf_dir, "embeddings").withColumn("score", F.col("label")))
-    return rows, *train_head(rows, "trained", "hashing-64", hidden_dim=16, rate=0.2, batch_size=128, epochs=EPOCHS)
+    return rows, *train_head(rows, "trained", "hashing-64", hidden_dim=16, rate=0.2, batch_size=256, epochs=EPOCHS)
 
 
 def train_weights(spark: SparkSession, sf_dir: str) -> DataFrame:

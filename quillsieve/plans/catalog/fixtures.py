@@ -19,8 +19,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_web_documents(table(spark, sf_dir, "documents"))
+
+
+def as_web_documents(df: DataFrame) -> DataFrame:
     """Documents with the fields of a web document."""
-    return table(spark, sf_dir, "documents").selectExpr("*", "doc_id AS id", "concat('doc://', source, '/', doc_id) AS url")
+    return df.selectExpr("*", "doc_id AS id", "concat('doc://', source, '/', doc_id) AS url")
 
 
 def head(k: int, dim: int = 64, name: str | None = None) -> Head:

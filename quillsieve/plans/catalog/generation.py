@@ -15,6 +15,7 @@ from quillsieve.plans.catalog import fixtures as fx
 from quillsieve.plans.catalog.texts import WORDS, quoted
 from quillsieve.plans.jobs import label_corpus
 from quillsieve.session import new_folder
+from quillsieve.streaming.incremental import process_files
 
 MODEL = "rule-model"
 
@@ -106,7 +107,20 @@ def label_and_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests made as files arrive; the same rows as in one batch."""
+    schema = fx.table(spark, sf_dir, "documents").schema
+    out, checkpoint = new_folder(spark, "stream-labels"), new_folder(spark, "stream-labels-checkpoint")
+
+    def step(batch: DataFrame) -> DataFrame:
+        return generate(fx.as_web_documents(batch), SCORE, rule_responder("score"), MODEL, "mixed", on_error="default")
+
+    process_files(spark, sf_dir, schema, step, out, checkpoint, glob="documents.parquet").awaitTermination()
+    return spark.read.parquet(out).select("id", F.md5("input_text").alias("input_md5"), "score", "reasoning", F.col("error").isNotNull().alias("failed"))
+
+
 QUERIES = {
+    "stream_label": stream_label,
     "resume_anti_join": resume_anti_join,
     "generate_score": generate_score,
     "generate_category": generate_category,
@@ -149,6 +163,10 @@ WITH {_asked_sql(SCORE)}
 SELECT id, url, md5(body) AS input_md5, CASE WHEN failed THEN 0.0 ELSE CAST(n % 6 AS DOUBLE) END AS score,
        CASE WHEN failed THEN '' ELSE digest END AS reasoning, CASE WHEN failed THEN '' ELSE concat(n, ' score') END AS keywords,
        '{MODEL}' AS model, 'mixed' AS language, num_tokens, failed FROM asked""",
+    "stream_label": f"""
+WITH {_asked_sql(SCORE)}
+SELECT id, md5(body) AS input_md5, CASE WHEN failed THEN 0.0 ELSE CAST(n % 6 AS DOUBLE) END AS score,
+       CASE WHEN failed THEN '' ELSE digest END AS reasoning, failed FROM asked""",
     "generate_category": f"""
 WITH {_asked_sql(RESOURCE_CATEGORY)}
 SELECT id, title, CASE WHEN failed THEN '' ELSE digest END AS reasoning,

@@ -15,10 +15,11 @@ from quillsieve.operators.layout import (
 )
 from quillsieve.operators.position import read_parquet_indexed, row_range, take_rows, with_ordered_index
 from quillsieve.plans.catalog import fixtures as fx
-from quillsieve.plans.jobs import reshard_corpus
+from quillsieve.plans.catalog.annotation import THRESHOLD
+from quillsieve.plans.jobs import filter_corpus, reshard_corpus
 from quillsieve.session import new_folder
-from quillsieve.sources.readers import read_with_source, total_examples
-from quillsieve.sources.writers import write_shards
+from quillsieve.sources.readers import read_dataset, read_with_source, total_examples
+from quillsieve.sources.writers import write_parquet, write_shards
 
 NUM_SHARDS = 7
 
@@ -100,7 +101,24 @@ def source_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_with_source(spark, sf_dir, "documents.parquet").select("doc_id", "source_file")
 
 
+def filtered_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dataset scored by one head, filtered, and written by contiguous shard of its input."""
+    root = new_folder(spark, "web")
+    write_parquet(fx.table(spark, sf_dir, "documents"), f"{root}/cfg/train")
+    folder = filter_corpus(spark, root, "cfg", "train", new_folder(spark, "kept"), fx.head(1), THRESHOLD, NUM_SHARDS)
+    return spark.read.parquet(folder).select("doc_id", "shard", F.round("score", 6).alias("score"), F.md5("text").alias("text_md5"))
+
+
+def dataset_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents kept as name/config/split, scanned by those names."""
+    root = new_folder(spark, "dataset")
+    write_parquet(fx.table(spark, sf_dir, "documents"), f"{root}/mixed/train")
+    return read_dataset(spark, root, "mixed").select("doc_id", "lang", F.md5("text").alias("text_md5"))
+
+
 QUERIES = {
+    "filtered_shards": filtered_shards,
+    "dataset_scan": dataset_scan,
     "take_n": take_n,
     "row_slice": row_slice,
     "shard_contiguous": shard_contiguous,
@@ -120,6 +138,13 @@ _INDEXED = "indexed AS (SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS row
 _EQUAL = f"CAST(least(row_index // (total // {NUM_SHARDS}), {NUM_SHARDS - 1}) AS INTEGER)"
 
 ORACLES = {
+    "filtered_shards": f"""
+WITH {_INDEXED}, {fx.document_scores_sql()},
+sized AS (SELECT *, total // {NUM_SHARDS} AS small, total % {NUM_SHARDS} AS larger FROM indexed)
+SELECT doc_id, CAST(CASE WHEN row_index < larger * (small + 1) THEN row_index // (small + 1)
+  ELSE larger + (row_index - larger * (small + 1)) // small END AS INTEGER) AS shard, round(score, 6) AS score, md5(text) AS text_md5
+FROM sized JOIN document_scores USING (doc_id) WHERE k = 1 AND score >= {THRESHOLD}""",
+    "dataset_scan": "SELECT doc_id, lang, md5(text) AS text_md5 FROM documents",
     "take_n": "SELECT doc_id, lang, md5(text) AS text_md5 FROM documents ORDER BY doc_id LIMIT 100",
     "row_slice": f"WITH {_INDEXED} SELECT doc_id, row_index FROM indexed WHERE row_index >= 50 AND row_index < 150",
     "shard_contiguous": f"""

@@ -30,22 +30,23 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def partitions_for(df: DataFrame) -> int:
-    """Partitions for an explicit repartition: the session's number, more if the data is larger.
+def partitions_for(df: DataFrame) -> tuple[int, ...]:
+    """Leading arguments of a repartition: a number where the data needs more than the session's.
 
-    Adaptive execution merges small partitions but cannot cut those of a requested layout.
+    Without a number adaptive execution may merge small partitions; it never cuts large ones.
     """
     configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(configured, min(math.ceil(estimated_bytes(df) / SPLIT_BYTES), MAX_PARTITIONS))
+    needed = min(math.ceil(estimated_bytes(df) / SPLIT_BYTES), MAX_PARTITIONS)
+    return (needed,) if needed > configured else ()
 
 
-def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+def small_side(df: DataFrame, rows: int | None = None) -> DataFrame:
     """Mark a join side for broadcast if it is counted to be small, else leave it alone.
 
     Beyond the bound the planner joins by shuffle, where adaptive execution splits the
     partitions of hot keys.
     """
-    return F.broadcast(df) if has_at_most(df, rows) else df
+    return F.broadcast(df) if has_at_most(df, BROADCAST_ROWS if rows is None else rows) else df
 
 
 def spread(df: DataFrame) -> DataFrame:
