@@ -110,7 +110,7 @@ def label_corpus(
     if num_examples is not None:
         df = take_rows(df, num_examples, [order_by])
     if done is not None:
-        df = resume(df, done)
+        df = resume(df, done.select(F.col("id").try_cast(df.schema["id"].dataType)))
     count = count_words if load_tokenizer is None else _counter(load_tokenizer)
     ready = prepare(df, task.input_budget(count, max_tokens), load_tokenizer)
     answered = materialise(ask(ready, task, load_responder, batch_size, on_error), "answers")

@@ -16,6 +16,8 @@ SINGLE_TASK_ROWS = 1_000_000
 SPLIT_BYTES = 128 * 1024 * 1024
 #: Bytes of input beyond which rows are never dealt out anew just to fill the cores.
 SPREAD_BYTES = 16 * 1024 * 1024 * 1024
+#: Sizes from here on are the planner's placeholder for an unknown one.
+UNKNOWN_BYTES = 1 << 60
 #: Partitions of one shuffle the driver can keep track of.
 MAX_PARTITIONS = 200_000
 
@@ -25,9 +27,15 @@ def has_at_most(df: DataFrame, rows: int) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Size of the result as the planner estimates it."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def input_bytes(df: DataFrame) -> int | None:
+    """Bytes of the tables a frame reads; None where the planner does not know them.
+
+    The planner's estimate for the result itself is of no use here: it multiplies the sides of
+    every join.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return None if any(size >= UNKNOWN_BYTES for size in sizes) else sum(sizes)
 
 
 def partitions_for(df: DataFrame) -> tuple[int, ...]:
@@ -36,7 +44,7 @@ def partitions_for(df: DataFrame) -> tuple[int, ...]:
     Without a number adaptive execution may merge small partitions; it never cuts large ones.
     """
     configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    needed = min(math.ceil(estimated_bytes(df) / SPLIT_BYTES), MAX_PARTITIONS)
+    needed = min(math.ceil((input_bytes(df) or 0) / SPLIT_BYTES), MAX_PARTITIONS)
     return (needed,) if needed > configured else ()
 
 
@@ -56,4 +64,5 @@ def spread(df: DataFrame) -> DataFrame:
     one full split per core are left as they are: shuffling them would cost more than it gains.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if estimated_bytes(df) < min(cores * SPLIT_BYTES, SPREAD_BYTES) else df
+    size = input_bytes(df)
+    return df.repartition(cores) if size is not None and size < min(cores * SPLIT_BYTES, SPREAD_BYTES) else df

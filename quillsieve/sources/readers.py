@@ -64,14 +64,18 @@ def _run_line(raw: str) -> tuple:
     if line is None:
         return (False, False, False, *[None] * 9)
     held = [key in line for key in _LINE_KEYS]
+    score, kind = as_text(line.get("score")), json_type(line["score"]) if "score" in line else None
+    if "score_raw" in line and "score_json_type" in line:
+        # Our own results keep the score as the model wrote it beside the number.
+        score, kind = as_text(line["score_raw"]), as_text(line["score_json_type"])
     return (
         all(held[:2]),
         all(held[:6]),
         all(held),
         as_text(line.get("model")),
         as_text(line.get("language")),
-        as_text(line.get("score")),
-        json_type(line["score"]) if "score" in line else None,
+        score,
+        kind,
         as_text(line.get("reasoning")),
         as_text(line.get("input_text")),
         as_text(line.get("generated_text", "")),

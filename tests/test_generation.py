@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from quillsieve.operators.generation import ask, batch_metrics, generate, recorded, rejected_years, resource_papers, resume, throughput
 from quillsieve.operators.tasks import RESOURCE_CATEGORY, SCORE, SYNTHESIZE
 from quillsieve.plans.jobs import label_corpus
+from quillsieve.sources.readers import read_runs
 
 
 def docs(spark, n=25):
@@ -89,6 +90,19 @@ def test_label_job_resumes_and_overwrites(spark, tmp_path):
     assert dict(results()) == {str(i): 2.0 for i in range(25)} and len(results()) == 25
 
 
+def test_string_scores_survive_the_result_files(spark, tmp_path):
+    label_corpus(docs(spark, 4), SCORE, answering(lambda w: json.dumps({"score": w if w < "2" else int(w)})), "m", str(tmp_path), num_examples=None)
+    rows = read_runs(spark, str(tmp_path)).filter("complete").collect()
+    assert sorted((r.score_raw, r.score_json_type) for r in rows) == [("0", "string"), ("1", "string"), ("2", "number"), ("3", "number")]
+
+
+def test_ids_of_another_type_resume(spark, tmp_path):
+    numbered = docs(spark, 4).withColumn("id", F.col("id").cast("long"))
+    for _ in range(2):
+        label_corpus(numbered, SCORE, answering(lambda w: "{}"), "m", str(tmp_path), num_examples=None)
+    assert spark.read.json(str(tmp_path)).count() == 4
+
+
 def test_rewrite_job_writes_by_source_file(spark, tmp_path):
     out = str(tmp_path / "blog")
     rows = docs(spark).withColumn("source_file", F.concat(F.lit("part-"), F.col("id").cast("int") % 2))

@@ -148,6 +148,16 @@ def test_resume_runs_below_the_responder_without_a_shuffle_of_texts(spark, sf_di
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
 
 
+def test_sizes_come_from_the_tables_read(spark, sf_dir):
+    docs = fx.table(spark, sf_dir, "documents")
+    size = sizing.input_bytes(docs)
+    joined = docs.join(docs.select("doc_id"), "doc_id")
+    assert 0 < size < 2**30 and sizing.input_bytes(joined) == 2 * size
+    unknown = spark.createDataFrame(spark.sparkContext.parallelize([(1,)]), "a int")
+    assert sizing.input_bytes(unknown) is None
+    assert sizing.partitions_for(unknown) == sizing.partitions_for(docs) == ()
+
+
 def test_broadcast_only_below_its_bound(spark):
     assert "BroadcastHashJoin" in plan(spark.range(100).join(sizing.small_side(spark.range(10)), "id"))
     assert sizing.has_at_most(spark.range(10), 10) and not sizing.has_at_most(spark.range(11), 10)
