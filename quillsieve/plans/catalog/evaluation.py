@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillsieve.functions.display import clamp
 from quillsieve.operators.annotate import annotate_vectors
 from quillsieve.operators.evaluate import class_of, leaderboard, macro_f1, pair_histogram, spearman, squared_error, validate
-from quillsieve.operators.heads import heads_from_table, load_heads, save_heads, weights_table
+from quillsieve.operators.heads import load_heads, save_heads, weights_table
 from quillsieve.operators.layout import INDEX
 from quillsieve.operators.training import collect_labels, label_pairs, rejected_labels, train_head, trainable
 from quillsieve.plans.catalog import fixtures as fx

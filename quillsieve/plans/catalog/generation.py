@@ -15,6 +15,7 @@ from quillsieve.plans.catalog import fixtures as fx
 from quillsieve.plans.catalog.texts import WORDS, quoted
 from quillsieve.plans.jobs import label_corpus
 from quillsieve.session import new_folder
+from quillsieve.sources.readers import read_results
 from quillsieve.streaming.incremental import process_files
 
 MODEL = "rule-model"
@@ -101,7 +102,7 @@ def label_and_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = new_folder(spark, "results")
     for part in (docs.filter("lang = 'en'"), docs):
         label_corpus(part, SCORE, rule_responder("score"), MODEL, out, num_examples=None, on_error="default")
-    written = spark.read.schema("id string, score double, reasoning string, language string, run_id string").json(out)
+    written = read_results(spark, out)
     return written.groupBy(F.col("id").cast("long").alias("id"), "run_id").agg(
         F.count(F.lit(1)).alias("num_results"), F.max("score").alias("score"), F.max("reasoning").alias("reasoning"), F.max("language").alias("language")
     )

@@ -60,9 +60,11 @@ def small_side(df: DataFrame, rows: int | None = None) -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """Deal the rows of a small input over all cores ahead of a Python stage.
 
-    A file with one row group is one task however many cores there are. Inputs with at least
-    one full split per core are left as they are: shuffling them would cost more than it gains.
+    A file with one row group is one task however many cores there are. Inputs with
+    several files or one full split per core are left as they are: shuffling them would cost more
+    than it gains.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     size = input_bytes(df)
-    return df.repartition(cores) if size is not None and size < min(cores * SPLIT_BYTES, SPREAD_BYTES) else df
+    small = size is not None and size < min(cores * SPLIT_BYTES, SPREAD_BYTES)
+    return df.repartition(cores) if small and len(df.inputFiles()) < 4 * cores else df

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from quillsieve.functions import text
 from quillsieve.functions.answers import as_keywords, as_text, json_type, strict_object
 from quillsieve.operators.position import file_row_counts, take_rows
-from quillsieve.schemas import PAPER, RUN_LINE
+from quillsieve.schemas import PAPER, RUN_LINE, SCORE_RESULT
 from quillsieve.sizing import spread
 
 
@@ -55,6 +55,14 @@ def total_examples(spark: SparkSession, folder: str, glob: str = "*.parquet") ->
     return file_row_counts(read_parquet_folder(spark, folder, glob)).orderBy("file_path")
 
 
+def read_results(spark: SparkSession, folder: str, schema: T.StructType = SCORE_RESULT) -> DataFrame:
+    """Result rows of a labelling or rewriting job, with their ``run_id``.
+
+    The schema names ``run_id`` because a key of digits would otherwise be read as a number.
+    """
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField("run_id", T.StringType())])).json(folder)
+
+
 # Keys a result line must hold, in the order they are looked up.
 _LINE_KEYS = ("model", "language", "score", "reasoning", "input_text", "thinking", "keywords")
 

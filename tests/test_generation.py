@@ -3,10 +3,12 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from quillsieve import schemas
+from quillsieve.functions.text import run_key_of
 from quillsieve.operators.generation import ask, batch_metrics, generate, recorded, rejected_years, resource_papers, resume, throughput
 from quillsieve.operators.tasks import RESOURCE_CATEGORY, SCORE, SYNTHESIZE
 from quillsieve.plans.jobs import label_corpus
-from quillsieve.sources.readers import read_runs
+from quillsieve.sources.readers import read_results, read_runs
 
 
 def docs(spark, n=25):
@@ -90,6 +92,18 @@ def test_label_job_resumes_and_overwrites(spark, tmp_path):
     assert dict(results()) == {str(i): 2.0 for i in range(25)} and len(results()) == 25
 
 
+@pytest.mark.parametrize("task, schema", [(SCORE, schemas.SCORE_RESULT), (RESOURCE_CATEGORY, schemas.CATEGORY_RESULT), (SYNTHESIZE, schemas.GENERATION_RESULT)])
+def test_results_have_the_documented_columns(spark, tmp_path, task, schema):
+    papers = docs(spark, 3).withColumns({"title": F.col("text"), "abstract": F.col("text"), "year": F.lit("2020")})
+    label_corpus(papers, task, answering(lambda w: "{}"), "m", str(tmp_path), num_examples=None)
+    written = read_results(spark, str(tmp_path), schema)
+    assert written.columns == [*schema.fieldNames(), "run_id"]
+    assert set(spark.read.json(str(tmp_path)).columns) == set(written.columns)
+    produced = generate(papers, task, answering(lambda w: "{}"), "m").schema
+    assert all(produced[f.name].dataType == f.dataType for f in schema.fields)
+    assert {r.run_id for r in written.collect()} == {run_key_of(task.prompt, "m")}
+
+
 def test_string_scores_survive_the_result_files(spark, tmp_path):
     label_corpus(docs(spark, 4), SCORE, answering(lambda w: json.dumps({"score": w if w < "2" else int(w)})), "m", str(tmp_path), num_examples=None)
     rows = read_runs(spark, str(tmp_path)).filter("complete").collect()
