@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from quillsieve.llm import decontaminate, quality, simhash
+from quillsieve.llm import bpe, decontaminate, quality, simhash
 
-_PARTS = (decontaminate, simhash, quality)
+_PARTS = (decontaminate, simhash, bpe, quality)
 
 QUERIES = {n: q for part in _PARTS for n, q in part.QUERIES.items()}
 ORACLES = {n: sql for part in _PARTS for n, sql in part.ORACLES.items()}
