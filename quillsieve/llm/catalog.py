@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from quillsieve.llm import bpe, decontaminate, quality, simhash, token_files
+from quillsieve.llm import bpe, decontaminate, quality, simhash, token_files, warc
 
-_PARTS = (decontaminate, simhash, token_files, bpe, quality)
+_PARTS = (decontaminate, simhash, token_files, bpe, quality, warc)
 
 QUERIES = {n: q for part in _PARTS for n, q in part.QUERIES.items()}
 ORACLES = {n: sql for part in _PARTS for n, sql in part.ORACLES.items()}

@@ -70,7 +70,7 @@ def write_tokens(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
             for start in range(0, batch.num_rows, _TEXTS):
                 part = batch.slice(start, _TEXTS)
                 if sink is None:
-                    sink = system.open_output_stream(f"{path}/{name}")
+                    sink = system.open_output_stream(f"{path}/{name}", compression=None)
                 made = chunks.ids([x or "" for x in part.column(1).to_pylist()])
                 sink.write(b"".join(x + end for x in made))
                 sizes += [len(x) // len(end) + 1 for x in made]
