@@ -10,12 +10,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillsieve.llm.common import ArrowBatches, encoded, per_batch, table
+from quillsieve.llm.common import ArrowBatches, encoded, per_batch, table, tasks_for
 from quillsieve.llm.components import components
 from quillsieve.session import materialise
 
 SHINGLE_WORDS = 3
 MAX_BITS = 2
+#: Bytes of stored fingerprints whose index rows one task makes.
+INDEX_BYTES = 4 * 1024 * 1024
 _SEED = 42
 #: Groups up to this size compare every pair; larger ones look up each member's neighbours.
 _FEW = 24
@@ -139,7 +141,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     empty table gives no rows; other columns are not looked at.
     """
     marks = materialise(fingerprints(docs, id_col, text_col, shingle_words), "fingerprints")
-    first = marks.groupBy("fp").agg(F.min(id_col).alias("first_id"))
+    # A fingerprint becomes as many index rows as it has posting lists, so these tasks are small.
+    spread = marks.repartition(tasks_for(marks, INDEX_BYTES), "fp")
+    first = spread.groupBy("fp").agg(F.min(id_col).alias("first_id"))
     roots = components(near_links(first.select("fp"), max_bits)).withColumnRenamed("id", "fp")
     linked = materialise(first.join(roots, "fp"), "linked")
     least = linked.groupBy("root").agg(F.min("first_id").alias("least_id"))
