@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from quillsieve.llm import bpe, decontaminate, html_text, quality, shards, simhash, token_files, warc
+from quillsieve.llm import bpe, decontaminate, html_text, quality, shards, simhash, substrings, token_files, warc
 
-_PARTS = (decontaminate, simhash, html_text, token_files, bpe, quality, shards, warc)
+_PARTS = (decontaminate, simhash, substrings, html_text, token_files, bpe, quality, shards, warc)
 
 QUERIES = {n: q for part in _PARTS for n, q in part.QUERIES.items()}
 ORACLES = {n: sql for part in _PARTS for n, sql in part.ORACLES.items()}
