@@ -54,7 +54,7 @@ def parser() -> argparse.ArgumentParser:
     label.add_argument("--server", default="http://localhost:8787/v1")
     label.add_argument("--responder", help="module:function returning a responder, instead of a server")
     label.add_argument("--language", default="arb_Arab")
-    label.add_argument("--num-examples", type=int, default=50_000)
+    label.add_argument("--num-examples", type=int, help="ask for the first rows only; all without")
     label.add_argument("--batch-size", type=int, default=10)
     label.add_argument("--max-tokens", type=int, default=MAX_TOKENS)
     label.add_argument("--overwrite", action="store_true")
@@ -111,8 +111,10 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = tune(SparkSession.builder.appName("quillsieve").getOrCreate())
-    run(spark, args)
-    drop_materialised(spark)
+    try:
+        run(spark, args)
+    finally:
+        drop_materialised(spark)
 
 
 if __name__ == "__main__":

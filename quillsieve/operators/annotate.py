@@ -165,3 +165,20 @@ def stats_projection(
             given = F.when(present, given).otherwise(values[key].cast("string"))
         values[key] = given
     return df.select(*[column.alias(name) for name, column in values.items()])
+
+
+def stats_lines(df: DataFrame, text: str = "text", metadata: str = "metadata", kept_as_is: Sequence[str] = ()) -> DataFrame:
+    """Everything but the text as one JSON object per row, in ``value``, with every metadata key.
+
+    The keys of a map differ from row to row, so they are merged as JSON, behind the top-level
+    fields; a key that both have is written once, as metadata. Null fields are left out.
+    """
+    shadowed = lambda name: F.coalesce(F.map_contains_key(F.col(metadata), name), F.lit(False))
+    values = []
+    for field in df.schema.fields:
+        if field.name not in (text, metadata):
+            value = F.col(field.name) if field.name in kept_as_is else _truthy(field)
+            values.append(F.when(~shadowed(field.name), value).alias(field.name))
+    inner = lambda json: F.nullif(F.expr(f"substring({json}, 2, length({json}) - 2)"), F.lit(""))
+    packed = df.select(F.to_json(F.struct(*values)) if values else F.lit("{}"), F.coalesce(F.to_json(metadata), F.lit("{}"))).toDF("_top", "_meta")
+    return packed.select(F.concat(F.lit("{"), F.concat_ws(",", inner("_top"), inner("_meta")), F.lit("}")).alias("value"))

@@ -158,5 +158,6 @@ def embed_documents(df: DataFrame, encoder_id: str, text: str = "text", name: st
 
 def l2_normalised(vector: Column) -> Column:
     """A vector column scaled to length one; a zero vector stays zero."""
-    length = F.sqrt(F.aggregate(vector, F.lit(0.0), lambda s, x: s + x * x))
-    return F.transform(vector, lambda x: F.when(length == 0, F.lit(0.0)).otherwise(x / length))
+    # The finishing step binds the sum, so that it is not worked out again for every element.
+    scaled = lambda s: F.transform(vector, lambda x: F.when(s == 0, F.lit(0.0)).otherwise(x / F.sqrt(s)))
+    return F.aggregate(vector, F.lit(0.0), lambda s, x: s + x * x, scaled)

@@ -6,6 +6,7 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 INDEX = "row_index"
 
@@ -29,11 +30,6 @@ def modulo_shard(index: Column, num_shards: int) -> Column:
     return F.pmod(index, F.lit(num_shards)).cast("int")
 
 
-def hashed_shard(key: Column, num_shards: int) -> Column:
-    """Shard from a key where rows have no position."""
-    return F.pmod(F.xxhash64(key), F.lit(num_shards)).cast("int")
-
-
 def equal_shard(index: Column, total: int, num_shards: int) -> Column:
     """``floor(total / num_shards)`` rows per shard; the last shard takes the remainder."""
     if num_shards < 1:
@@ -99,11 +95,28 @@ def validation_rows(df: DataFrame, split: str = "split", index: str = INDEX, sha
     return train.filter(F.col(index) < int(share * train.count()))
 
 
+def _holds_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_holds_map(f.dataType) for f in kind)
+    return isinstance(kind, T.MapType) or isinstance(kind, T.ArrayType) and _holds_map(kind.elementType)
+
+
+def _hashable(field: T.StructField) -> Column:
+    """A column as the hash takes it: maps as their entries in order of the keys."""
+    column = F.col(field.name)
+    if isinstance(field.dataType, T.MapType) and not _holds_map(field.dataType.valueType):
+        return F.array_sort(F.map_entries(column))
+    return F.to_json(column) if _holds_map(field.dataType) else column
+
+
 def content_summary(df: DataFrame) -> DataFrame:
-    """Row count and an order-free hash of all cells, as one row."""
+    """Row count and an order-free hash of all cells, as one row.
+
+    Maps are equal whatever the order of their entries, unless they lie inside other values.
+    """
     return df.agg(
         F.count(F.lit(1)).alias("num_rows"),
-        F.sum(F.xxhash64(*[F.col(c) for c in df.columns]).cast("decimal(38,0)")).alias("content_hash"),
+        F.sum(F.xxhash64(*[_hashable(f) for f in df.schema]).cast("decimal(38,0)")).alias("content_hash"),
     )
 
 

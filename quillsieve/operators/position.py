@@ -14,13 +14,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillsieve.session import materialise
-from quillsieve.sizing import SINGLE_TASK_ROWS, has_at_most, partitions_for, small_side
+from quillsieve.sizing import partitions_for, small_side
 
 _LOW_BITS = (1 << 33) - 1
 
-#: Whole rows a top-k may keep in every task.
-TOP_K_ROWS = 10_000
-
 
 def file_row_counts(scan: DataFrame) -> DataFrame:
     """Rows per parquet file of a scan: ``file_path, num_rows``. Reads no column."""
@@ -39,7 +36,8 @@ def read_parquet_indexed(spark: SparkSession, *paths: str, glob: str = "*.parque
         F.col("file_path").alias("_file"), F.coalesce(F.sum("num_rows").over(by_path), F.lit(0)).alias("_start")
     )
     rows = scan.select("*", F.col("_metadata.file_path").alias("_file"), position.alias("_pos"))
-    return rows.join(small_side(starts), "_file").withColumn(name, F.col("_start") + F.col("_pos")).drop("_file", "_start", "_pos")
+    # The driver lists these files by name anyway, so a number for each is small.
+    return rows.join(F.broadcast(starts), "_file").withColumn(name, F.col("_start") + F.col("_pos")).drop("_file", "_start", "_pos")
 
 
 def _sorted_and_placed(df: DataFrame, order_by: Sequence[Column | str]) -> DataFrame:
@@ -103,31 +101,24 @@ def running_total(df: DataFrame, order_by: Sequence[Column | str], weight: str,
 def take_rows(df: DataFrame, n: int, order_by: Sequence[str], descending: bool = False) -> DataFrame:
     """The first ``n`` rows in the order of the named columns; none for ``n <= 0``.
 
-    A short list is a top-k of whole rows. For a long one only the order columns are sorted; the
-    rows are then picked from the scan, so texts neither pile up in one task nor get sorted.
-    Which of the rows that tie on the last place are taken is open.
+    Only the order columns are sorted, by range; the rows are then picked from the scan by
+    comparing their keys with the last one taken, so texts are neither sorted nor moved. The
+    columns must part the last row taken from the next one, else it would be open which of the
+    rows that tie is meant: that is an error.
     """
     if n <= 0:
         return df.limit(0)
     order = [F.desc(c) if descending else F.asc(c) for c in order_by]
-    if n <= TOP_K_ROWS:
-        return df.orderBy(*order).limit(n)
-    keys = df.select(*order_by)
-    if n <= SINGLE_TASK_ROWS:
-        first = keys.orderBy(*order).limit(n)
-    else:
-        first = with_ordered_index(keys, order, name="_take").filter(F.col("_take") < n).drop("_take")
-    first = materialise(first, "first")
-    last = first.orderBy(*[F.asc(c) if descending else F.desc(c) for c in order_by]).first()
-    if last is None:
-        return df.limit(0)
-    on_last, match = F.lit(True), F.lit(True)
-    for i, c in enumerate(order_by):
-        on_last = on_last & F.col(c).eqNullSafe(F.lit(last[c]))
-        match = match & F.col(c).eqNullSafe(F.col(f"_k{i}"))
-    ahead = first.filter(~on_last).select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(order_by)]).distinct()
-    taken = df.join(small_side(ahead), match, "left_semi")
-    return taken.unionByName(df.filter(on_last).limit(first.filter(on_last).count()))
+    keys = with_ordered_index(df.select(*order_by), order, name="_take")
+    border = {r["_take"]: tuple(r)[:-1] for r in keys.where(F.col("_take").isin(n - 1, n)).select(*order_by, "_take").collect()}
+    if n not in border:
+        return df
+    if border[n - 1] == border[n]:
+        raise ValueError(f"rows {n - 1} and {n} have the same {', '.join(order_by)}; order by columns that part them")
+    own = F.struct(*[F.col(c) for c in order_by])
+    last = F.struct(*[F.lit(v).cast(df.schema[c].dataType).alias(c) for c, v in zip(order_by, border[n - 1])])
+    # Structs order nulls first, as ascending columns do, and last when descending.
+    return df.filter(own >= last if descending else own <= last)
 
 
 def row_range(df: DataFrame, start: int, end: int, index: str = "row_index") -> DataFrame:
@@ -139,11 +130,11 @@ def average_ranks(histogram: DataFrame, value: str, count: str, name: str, by: S
     """Rank of each distinct value from 1, ties sharing the average rank of their rows.
 
     ``histogram`` has one row per distinct (by, value) with its number of rows. Set ``bounded``
-    where every group is known to be small; otherwise the number of distinct values decides
-    between one window and a sort by range.
+    only where every group is known to be small, as in mini-batches: each is then one window.
+    Otherwise the values are sorted by range.
     """
     average = lambda upto: upto - (F.col(count) - 1) / 2
-    if bounded or has_at_most(histogram, SINGLE_TASK_ROWS):
+    if bounded:
         upto = Window.partitionBy(*by).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
         return histogram.withColumn(name, average(F.sum(count).over(upto)))
     totals = running_total(histogram, [*by, value], count, "_upto")

@@ -15,44 +15,26 @@ from quillsieve.functions.display import model_key
 from quillsieve.operators.position import with_ordered_index
 from quillsieve.sizing import small_side
 
-#: Rows shown of a run, rows of a page.
-MAX_REQUESTS = 10_000
+#: Rows of a page, scores that are counted.
 PER_PAGE = 10
 SCORE_BINS = range(6)
 
-#: Groups a long run is cut into before its first rows are merged.
-_SLOTS = 64
 
+def cap_lines(lines: DataFrame, cap: int | None = None) -> DataFrame:
+    """All lines, or those up to the one that completes ``cap`` complete rows of its run.
 
-def cap_lines(lines: DataFrame, cap: int = MAX_REQUESTS) -> DataFrame:
-    """Lines up to the one that completes ``cap`` complete rows of its run; all of shorter runs.
-
-    A long run is not ranked as a whole: its slots each keep their first rows, and only those
-    are merged.
+    Complete rows are numbered by a sort of their keys, so a run of any size is shared by tasks.
     """
-    complete = lines.filter("complete").select("run_id", "line_no")
-    long_runs = complete.groupBy("run_id").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= cap).select("run_id")
-    if long_runs.isEmpty():
+    if cap is None:
         return lines
-    slot = F.pmod(F.xxhash64("line_no"), F.lit(_SLOTS))
-    first = lambda w: F.row_number().over(w)
-    candidates = (
-        complete.join(small_side(long_runs), "run_id", "left_semi")
-        .withColumn("_slot", slot)
-        .withColumn("_rank", first(Window.partitionBy("run_id", "_slot").orderBy("line_no")))
-        .filter(F.col("_rank") <= cap)
-    )
-    last = (
-        candidates.withColumn("_rank", first(Window.partitionBy("run_id").orderBy("line_no")))
-        .filter(F.col("_rank") <= cap)
-        .groupBy("run_id")
-        .agg(F.max("line_no").alias("_last"))
-    )
+    complete = lines.filter("complete").select("run_id", "line_no")
+    numbered = with_ordered_index(complete, ["line_no"], by=["run_id"], name="_position")
+    last = numbered.filter(F.col("_position") == cap - 1).select("run_id", F.col("line_no").alias("_last"))
     return lines.join(small_side(last), "run_id", "left").filter(F.col("_last").isNull() | (F.col("line_no") <= F.col("_last"))).drop("_last")
 
 
-def requests(lines: DataFrame, cap: int = MAX_REQUESTS) -> DataFrame:
-    """Complete rows of every run, at most ``cap`` of each, in the fields the explorer shows."""
+def requests(lines: DataFrame, cap: int | None = None) -> DataFrame:
+    """Complete rows of every run, all or at most ``cap`` of each, in the fields the explorer shows."""
     return cap_lines(lines, cap).filter("complete")
 
 
@@ -62,7 +44,7 @@ def binned_score() -> Column:
     return F.when(number.isin([float(b) for b in SCORE_BINS]), number.cast("int"))
 
 
-def run_summaries(lines: DataFrame, cap: int = MAX_REQUESTS) -> DataFrame:
+def run_summaries(lines: DataFrame, cap: int | None = None) -> DataFrame:
     """One row per run with at least one complete row, newest first.
 
     The majority language counts every line with a model and a language, also incomplete ones.
@@ -120,29 +102,37 @@ def listing_order(sort_by: str | None = None, order: str = "desc") -> list[Colum
     return [score.desc() if order == "desc" else score.asc(), F.col("line_no")]
 
 
-def pages(rows: DataFrame, sort_by: str | None = None, order: str = "desc", per_page: int = PER_PAGE) -> DataFrame:
-    """Every row with its sample number and page within its run, both from 1."""
-    keys = listing_order(sort_by, order)
-    keyed = rows
+def _numbered(rows: DataFrame, sort_by: str | None, order: str, per_page: int) -> DataFrame:
+    """Keys of all rows with their score for sorting, sample number and page.
+
+    Only keys are sorted; ``run_id`` and ``line_no`` together are unique.
+    """
+    keys = rows.select("run_id", "line_no", score_for_sorting(F.col("score_raw"), F.col("score_json_type")).alias("sort_score"))
+    by = listing_order(sort_by, order)
     if sort_by is not None:
-        score = score_for_sorting(F.col("score_raw"), F.col("score_json_type"))
-        keyed = rows.withColumn("sort_score", score)
-        keys = [F.col("sort_score").desc() if order == "desc" else F.col("sort_score").asc(), F.col("line_no")]
-    indexed = with_ordered_index(keyed, keys, by=["run_id"], name="_position")
+        by = [F.col("sort_score").desc() if order == "desc" else F.col("sort_score").asc(), F.col("line_no")]
+    indexed = with_ordered_index(keys, by, by=["run_id"], name="_position")
     return indexed.withColumns(
         {"sample_no": F.col("_position") + 1, "page": (F.floor(F.col("_position") / F.lit(per_page)) + 1)}
     ).drop("_position")
 
 
+def pages(rows: DataFrame, sort_by: str | None = None, order: str = "desc", per_page: int = PER_PAGE) -> DataFrame:
+    """Every row with its sample number and page within its run, both from 1."""
+    numbered = _numbered(rows, sort_by, order, per_page)
+    if sort_by is None:
+        numbered = numbered.drop("sort_score")
+    return rows.join(numbered, ["run_id", "line_no"])
+
+
 def one_page(rows: DataFrame, run_id: str, page: int = 1, sort_by: str | None = None, order: str = "desc", per_page: int = PER_PAGE) -> DataFrame:
-    """Rows of one page of a run. Early pages are a top-k; later ones are found by position."""
-    own = rows.filter(F.col("run_id") == run_id)
+    """Rows of one page of a run, found by position whichever page it is."""
     if page < 1:
         raise ValueError("pages count from 1")
-    if page * per_page <= MAX_REQUESTS:
-        return own.orderBy(*listing_order(sort_by, order)).offset((page - 1) * per_page).limit(per_page)
-    paged = pages(own, sort_by, order, per_page).filter(F.col("page") == page)
-    return paged.orderBy("sample_no").select(*rows.columns)
+    own = rows.filter(F.col("run_id") == run_id)
+    # A page's keys are few, so they are sent to the rows.
+    wanted = F.broadcast(_numbered(own, sort_by, order, per_page).filter(F.col("page") == page).select("run_id", "line_no", "sample_no"))
+    return own.join(wanted, ["run_id", "line_no"]).orderBy("sample_no").select(*rows.columns)
 
 
 def page_counts(rows: DataFrame, per_page: int = PER_PAGE) -> DataFrame:

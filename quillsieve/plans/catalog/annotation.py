@@ -18,6 +18,7 @@ from quillsieve.operators.encoders import embed_documents, l2_normalised
 from quillsieve.operators.heads import score_expression
 from quillsieve.plans.catalog import fixtures as fx
 from quillsieve.session import new_folder
+from quillsieve.plans.jobs import annotate_corpus
 from quillsieve.sources.writers import write_annotated
 from quillsieve.streaming.incremental import process_files
 
@@ -110,6 +111,20 @@ def stats_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(schema).json(stats).select("id", "url", "odd", "source", "language", *rounded(*SCORES))
 
 
+def stats_every_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The annotation job on documents with a metadata map, none of whose keys is named."""
+    source, data, stats = (new_folder(spark, f"every-key-{n}") for n in ("in", "out", "stats"))
+    docs = fx.table(spark, sf_dir, "documents")
+    # A key by language, and one that a top-level field has too.
+    extra = F.create_map(F.concat(F.lit("seen_"), F.col("lang")), F.col("doc_id").cast("string"), F.lit("source"), F.concat(F.lit("meta-"), F.col("source")))
+    metadata = F.when(F.col("doc_id") % 5 != 0, extra)
+    docs.select(F.col("doc_id").cast("string").alias("id"), "text", "source", "n_chars", metadata.alias("metadata")).write.parquet(source)
+    annotate_corpus(spark, source, data, stats, "hashing-64", fx.heads())
+    keys = ["id", "source", "seen_en", "seen_fr", "seen_de", "seen_es"]
+    schema = ", ".join(f"{k} string" for k in keys) + ", n_chars long, " + ", ".join(f"{s} double" for s in SCORES)
+    return spark.read.schema(schema).json(stats).select(*keys, "n_chars", *rounded(*SCORES))
+
+
 def multi_model_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     models = {"wide_a": fx.head(0), "wide_b": fx.head(1), "narrow": fx.head(2, 8)}
     predicted = predict_models(fx.table(spark, sf_dir, "documents"), models)
@@ -138,6 +153,7 @@ QUERIES = {
     "kept_by_language": kept_by_language,
     "stats_projection": stats_columns,
     "stats_sink": stats_sink,
+    "stats_every_key": stats_every_key,
     "multi_model_predict": multi_model_predict,
     "stream_annotate": stream_annotate,
 }
@@ -178,6 +194,11 @@ SELECT lang, count(*) AS num_docs, CAST(sum(n_chars) AS BIGINT) AS num_chars, ro
 FROM document_scores JOIN documents USING (doc_id) WHERE k = 1 AND round(score, 6) >= {THRESHOLD} GROUP BY lang""",
     "stats_projection": _STATS_SQL,
     "stats_sink": _STATS_SQL,
+    "stats_every_key": f"""WITH {fx.document_scores_sql()}
+SELECT CAST(d.doc_id AS VARCHAR) AS id, CASE WHEN d.doc_id % 5 <> 0 THEN concat('meta-', source) ELSE source END AS source,
+       {', '.join(f"CASE WHEN lang = '{x}' AND d.doc_id % 5 <> 0 THEN CAST(d.doc_id AS VARCHAR) END AS seen_{x}" for x in ('en', 'fr', 'de', 'es'))},
+       nullif(n_chars, 0) AS n_chars, {fx.score_names()}
+FROM document_scores s JOIN documents d USING (doc_id) GROUP BY d.doc_id, d.source, d.lang, d.n_chars""",
     "multi_model_predict": f"""WITH {fx.document_scores_sql(64)}, {fx.document_scores_sql(8, '8')}
 SELECT a.doc_id, round(a.score, 6) AS wide_a_score, round(b.score, 6) AS wide_b_score, round(c.score, 6) AS narrow_score
 FROM document_scores a JOIN document_scores b ON a.doc_id = b.doc_id AND b.k = 1

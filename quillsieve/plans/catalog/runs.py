@@ -127,7 +127,10 @@ capped AS (
   FROM lines),
 seen AS (SELECT * FROM capped WHERE before < {cap}),
 complete_rows AS (SELECT *, try_cast(score_raw AS DOUBLE) AS number FROM seen WHERE complete)"""
-_ROWS = f"{fx.RUN_LINES_SQL}, {_COMPLETE.format(cap=10_000)}"
+_ALL = """
+seen AS (SELECT * FROM lines),
+complete_rows AS (SELECT *, try_cast(score_raw AS DOUBLE) AS number FROM seen WHERE complete)"""
+_ROWS = f"{fx.RUN_LINES_SQL}, {_ALL}"
 _IN_BIN = "score_json_type = 'number' AND number = {b}"
 _SUMMARY = f"""{_ROWS},
 language_counts AS (SELECT run_id, language, count(*) AS n FROM seen GROUP BY 1, 2),

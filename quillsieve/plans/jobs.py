@@ -24,7 +24,7 @@ from quillsieve.operators.generation import (
 )
 from quillsieve.operators.heads import Head, save_heads
 from quillsieve.operators.layout import INDEX, parity, place_contiguous_shards, validation_rows
-from quillsieve.operators.position import read_parquet_indexed, take_rows
+from quillsieve.operators.position import read_parquet_indexed, take_rows, with_ordered_index
 from quillsieve.operators.runs import pages, requests, run_summaries
 from quillsieve.operators.tasks import MAX_TOKENS, TaskSpec, count_words
 from quillsieve.operators.training import collect_labels, train_head, trainable
@@ -88,7 +88,7 @@ def label_corpus(
     model: str,
     out: str,
     language: str = "arb_Arab",
-    num_examples: int | None = 50_000,
+    num_examples: int | None = None,
     order_by: str = "id",
     batch_size: int = 10,
     max_tokens: int = MAX_TOKENS,
@@ -110,7 +110,9 @@ def label_corpus(
     if num_examples is not None:
         df = take_rows(df, num_examples, [order_by])
     if done is not None:
-        df = resume(df, done.select(F.col("id").try_cast(df.schema["id"].dataType)))
+        # An id that doesn't cast is no id of this input; only one that was null stays null.
+        own = F.col("id").try_cast(df.schema["id"].dataType)
+        df = resume(df, done.filter(F.col("id").isNull() | own.isNotNull()).select(own.alias("id")))
     count = count_words if load_tokenizer is None else _counter(load_tokenizer)
     ready = prepare(df, task.input_budget(count, max_tokens), load_tokenizer)
     answered = materialise(ask(ready, task, load_responder, batch_size, on_error), "answers")
@@ -155,7 +157,9 @@ def distil(
     embedded = materialise(embed_documents(labels, encoder_id, text="input_text"), "vectors")
     head, _ = train_head(embedded.filter("split = 'train'"), head_name, encoder_id, hidden_dim, rate, batch_size, epochs, seed)
     save_heads(spark, out, head)
-    scored = annotate_vectors(validation_rows(embedded), {"predicted": head}, prefix="")
+    # Labels that were left out leave gaps, so batches are cut over the rows that remain.
+    numbered = with_ordered_index(validation_rows(embedded).drop("input_text"), [INDEX], name="_kept").drop(INDEX).withColumnRenamed("_kept", INDEX)
+    scored = annotate_vectors(numbered, {"predicted": head}, prefix="")
     return validate(scored, "score", "predicted", INDEX, eval_batch_size)
 
 

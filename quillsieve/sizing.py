@@ -7,11 +7,12 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Rows a side may have before it is no longer broadcast. Sides passed here are narrow
-#: (a few keys and numbers), so this stays in the tens of megabytes.
+from quillsieve.session import materialise
+
+#: Stored bytes and rows a side may have before it is no longer broadcast. Parquet of keys and
+#: numbers grows several times over in memory, so this stays in the tens of megabytes.
+BROADCAST_BYTES = 8 * 1024 * 1024
 BROADCAST_ROWS = 500_000
-#: Rows a single task may order in memory or on its local disk.
-SINGLE_TASK_ROWS = 1_000_000
 #: Bytes of input a task should get, by the planner's estimate.
 SPLIT_BYTES = 128 * 1024 * 1024
 #: Bytes of input beyond which rows are never dealt out anew just to fill the cores.
@@ -22,11 +23,6 @@ UNKNOWN_BYTES = 1 << 60
 MAX_PARTITIONS = 200_000
 
 
-def has_at_most(df: DataFrame, rows: int) -> bool:
-    """Whether ``df`` has no more than ``rows`` rows; counts no further than that."""
-    return df.limit(rows + 1).count() <= rows
-
-
 def input_bytes(df: DataFrame) -> int | None:
     """Bytes of the tables a frame reads; None where the planner does not know them.
 
@@ -44,17 +40,22 @@ def partitions_for(df: DataFrame) -> tuple[int, ...]:
     Without a number adaptive execution may merge small partitions; it never cuts large ones.
     """
     configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    needed = min(math.ceil((input_bytes(df) or 0) / SPLIT_BYTES), MAX_PARTITIONS)
+    needed = math.ceil((input_bytes(df) or 0) / SPLIT_BYTES)
+    if needed > MAX_PARTITIONS:
+        raise ValueError(f"{needed} partitions of {SPLIT_BYTES} bytes are more than one shuffle can have; read the input in parts")
     return (needed,) if needed > configured else ()
 
 
-def small_side(df: DataFrame, rows: int | None = None) -> DataFrame:
-    """Mark a join side for broadcast if it is counted to be small, else leave it alone.
+def small_side(df: DataFrame) -> DataFrame:
+    """A join side, stored once, and marked for broadcast if what was stored is small.
 
-    Beyond the bound the planner joins by shuffle, where adaptive execution splits the
-    partitions of hot keys.
+    The rows are counted from the stored footers. Beyond the bounds the planner joins by shuffle,
+    where adaptive execution splits the partitions of hot keys.
     """
-    return F.broadcast(df) if has_at_most(df, BROADCAST_ROWS if rows is None else rows) else df
+    side = materialise(df, "side")
+    size = input_bytes(side)
+    small = size is not None and size <= BROADCAST_BYTES and side.count() <= BROADCAST_ROWS
+    return F.broadcast(side) if small else side
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
-from quillsieve.operators.annotate import stats_projection
+from quillsieve.operators.annotate import stats_lines, stats_projection
 from quillsieve.operators.layout import place_equal_shards
 
 #: Codec of re-sharded files. Brotli needs a codec jar that Spark does not ship.
@@ -20,12 +21,19 @@ def write_parquet(df: DataFrame, folder: str, codec: str = DEFAULT_CODEC, mode:
 def write_annotated(df: DataFrame, data_folder: str, stats_folder: str | None = None, mode: str = "error", **stats_options) -> None:
     """Write scored documents and, from what was written, their metadata as JSON lines.
 
-    The second output reads the first, so that no document is scored twice.
+    The second output reads the first, so that no document is scored twice. Unless
+    ``metadata_keys`` names some, every key of a ``metadata`` map is written.
     """
     write_parquet(df, data_folder, mode=mode)
     if stats_folder is not None:
         written = df.sparkSession.read.schema(df.schema).parquet(data_folder)
-        stats_projection(written, **stats_options).write.mode(mode).json(stats_folder)
+        column = stats_options.get("metadata", "metadata")
+        every_key = not stats_options.get("metadata_keys") and isinstance(dict(zip(df.columns, (f.dataType for f in df.schema))).get(column), T.MapType)
+        if every_key:
+            stats_options.pop("metadata_keys", None)
+            stats_lines(written, **stats_options).write.mode(mode).text(stats_folder)
+        else:
+            stats_projection(written, **stats_options).write.mode(mode).json(stats_folder)
 
 
 def threshold_folder(out: str, threshold: float, config: str, split: str) -> str:

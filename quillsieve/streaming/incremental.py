@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,10 +14,11 @@ from quillsieve.operators.generation import resume
 
 def _finished(spark: SparkSession, out: str, key: str, batch_id: int) -> DataFrame | None:
     """Keys written by other micro-batches; None before the first one is committed."""
-    try:
-        return spark.read.parquet(out).filter(F.col("batch_id") != batch_id).select(key)
-    except AnalysisException:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(out)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(folder) or not any(s.getPath().getName().startswith("batch_id=") for s in system.listStatus(folder)):
         return None
+    return spark.read.parquet(out).filter(F.col("batch_id") != batch_id).select(key)
 
 
 def process_files(
@@ -36,8 +36,9 @@ def process_files(
 
     A micro-batch writes one ``batch_id`` folder and replaces it if it is run again, so a restart
     neither loses nor repeats rows, and needs no look at earlier results. Give ``key`` only if the
-    same document can arrive in several files: each batch then reads all keys written so far and
-    leaves those rows out before ``step`` runs. Stops when all present files are done.
+    same document can arrive in several files: each batch then reads all keys written so far,
+    leaves those rows out before ``step`` runs, and takes one of several rows that share a key.
+    Stops when all present files are done.
     """
     reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
     if files_per_batch is not None:
@@ -46,7 +47,7 @@ def process_files(
     def write(batch: DataFrame, batch_id: int) -> None:
         if key is not None:
             done = _finished(batch.sparkSession, out, key, batch_id)
-            batch = batch if done is None else resume(batch, done, key)
+            batch = (batch if done is None else resume(batch, done, key)).dropDuplicates([key])
         step(batch).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
     return (

@@ -91,30 +91,39 @@ def test_take_rows(spark, n):
     assert n <= 0 or got[1] == max(40_000 - n, 0)
 
 
-@pytest.mark.parametrize("single", [10**6, 3])
+@pytest.mark.parametrize("descending", [False, True])
 @pytest.mark.parametrize("n", [1, 2, 5, 7, 8])
-def test_take_rows_with_ties_and_nulls(spark, monkeypatch, n, single):
-    """The way for long lists, on a short one: ties on the last place and nulls first."""
-    monkeypatch.setattr(position, "TOP_K_ROWS", 0)
-    monkeypatch.setattr(position, "SINGLE_TASK_ROWS", single)
+def test_take_rows_with_ties_and_nulls(spark, n, descending):
+    """Nulls come first, last when descending; ties across the border are an error."""
     values = [None, None, 1, 1, 1, 2, 2]
     df = spark.createDataFrame([(v, "x" * i) for i, v in enumerate(values)], "v int, t string")
-    got = position.take_rows(df, n, ["v"]).collect()
-    assert sorted((r.v for r in got), key=lambda v: v or 0) == values[:n]
-    assert len({r.t for r in got}) == len(got)
+    got = position.take_rows(df, n, ["v", "t"], descending).collect()
+    order = sorted(range(7), key=lambda i: (values[i] or 0, i), reverse=descending)
+    assert {len(r.t) for r in got} == set(order[:n])
+    if n in (2, 5, 7, 8) and not descending:
+        assert position.take_rows(df, n, ["v"]).count() == min(n, 7)
+    elif not descending:
+        with pytest.raises(ValueError):
+            position.take_rows(df, n, ["v"])
 
 
-@pytest.mark.parametrize("limit", [10**6, 3])
-def test_average_ranks_either_way(spark, monkeypatch, limit):
+@pytest.mark.parametrize("bounded", [True, False])
+def test_average_ranks_either_way(spark, bounded):
     """The one-window way and the sort by range agree with ranks by hand."""
-    monkeypatch.setattr(position, "SINGLE_TASK_ROWS", limit)
     values = {"a": [3.0, 1.0, 3.0, 2.0, 3.0], "b": [5.0, 5.0, 4.0]}
     df = spark.createDataFrame([(g, v) for g, vs in values.items() for v in vs], "g string, v double")
     histogram = df.groupBy("g", "v").agg(F.count("*").alias("n"))
-    got = {(r.g, r.v): r.rank for r in position.average_ranks(histogram, "v", "n", "rank", by=["g"]).collect()}
+    got = {(r.g, r.v): r.rank for r in position.average_ranks(histogram, "v", "n", "rank", by=["g"], bounded=bounded).collect()}
     assert got == {("a", 1.0): 1.0, ("a", 2.0): 2.0, ("a", 3.0): 4.0, ("b", 4.0): 1.0, ("b", 5.0): 2.5}
 
 
+def test_parity_of_maps(spark):
+    rows = spark.sql("SELECT id, map('a', id, 'b', 1) AS m, array(struct(map('k', id) AS inner)) AS deep FROM range(20)")
+    turned = spark.sql("SELECT id, map('b', 1, 'a', id) AS m, array(struct(map('k', id) AS inner)) AS deep FROM range(20)")
+    assert layout.parity(rows, turned).first().content_equal
+    assert not layout.parity(rows, rows.withColumn("m", F.create_map(F.lit("a"), F.col("id")))).first().content_equal
+
+
 def test_validation_rows_prefer_the_named_splits(spark):
     df = spark.createDataFrame([("train", i) for i in range(10)] + [("test", 10), ("val", 11)], "split string, row_index long")
     names = lambda d: sorted((r.split, r.row_index) for r in layout.validation_rows(d).collect())

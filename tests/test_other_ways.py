@@ -3,7 +3,6 @@
 import pytest
 
 from quillsieve import sizing
-from quillsieve.operators import position, runs
 from tests.compare import difference, duck
 
 NAMES = [
@@ -22,9 +21,6 @@ def test_without_small_sides(spark, sf_dir, connection, monkeypatch, name):
     monkeypatch.setattr(sizing, "BROADCAST_ROWS", 0)
     monkeypatch.setattr(sizing, "SPREAD_BYTES", 0)
     monkeypatch.setattr(sizing, "SPLIT_BYTES", 10_000)
-    monkeypatch.setattr(position, "SINGLE_TASK_ROWS", 0)
-    monkeypatch.setattr(position, "TOP_K_ROWS", 0)
-    monkeypatch.setattr(runs, "_SLOTS", 3)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         problem, count, _ = difference(spark, name, sf_dir, connection)

@@ -45,6 +45,16 @@ def test_cap_on_a_long_run_with_many_slots(spark):
     assert tuple(got) == (1000, 1499)
 
 
+def test_nothing_is_capped_unless_asked(spark):
+    lines = spark.range(12_000).select(
+        F.lit("r").alias("run_id"), F.col("id").alias("line_no"), F.lit(True).alias("complete"), F.lit("1").alias("score_raw"), F.lit("number").alias("score_json_type")
+    )
+    rows = runs.requests(lines)
+    assert rows.count() == 12_000 and runs.page_counts(rows).first().total_pages == 1_200
+    assert runs.requests(lines, 10_000).count() == 10_000
+    assert [r.line_no for r in runs.one_page(rows, "r", 1_200, "score").collect()] == list(range(11_990, 12_000))
+
+
 def test_summary(spark):
     values = [line(3), line(3.0), line("3"), line(2.5), line(7), line(0, language="en"), line(1, language="en", keywords="<missing>", model="last")]
     row = runs.run_summaries(parsed(spark, values)).first()
@@ -60,7 +70,7 @@ def test_sparse_counts(spark):
 
 
 @pytest.mark.parametrize("order", ["asc", "desc"])
-def test_pages_are_stable_and_agree(spark, order, monkeypatch):
+def test_pages_are_stable_and_agree(spark, order):
     scores = [3, "2", 1, "x", 3, 2, "3", 0, 5, 2, 2, 3, 1]
     lines = parsed(spark, [line(s) for s in scores])
     number = lambda s: 0.0 if s == "x" else float(s)
@@ -68,9 +78,7 @@ def test_pages_are_stable_and_agree(spark, order, monkeypatch):
     paged = runs.pages(lines, "score", order, per_page=5).orderBy("sample_no").collect()
     assert [r.line_no for r in paged] == wanted
     assert [r.page for r in paged] == [i // 5 + 1 for i in range(len(scores))]
-    for early in (10_000, 0):  # a top-k, then a look-up by position
-        monkeypatch.setattr(runs, "MAX_REQUESTS", early)
-        assert [r.line_no for r in runs.one_page(lines, "r", 2, "score", order, per_page=5).collect()] == wanted[5:10]
+    assert [r.line_no for r in runs.one_page(lines, "r", 2, "score", order, per_page=5).collect()] == wanted[5:10]
     with pytest.raises(ValueError):
         runs.one_page(lines, "r", 0)
 

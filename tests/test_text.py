@@ -103,13 +103,23 @@ def test_checkpoint_names(spark):
 
 
 @quick
-@given(st.lists(st.one_of(st.floats(-1e6, 1e6), st.integers(-4000, 4000).map(lambda n: n / 20)), min_size=1, max_size=200))
+@given(st.lists(st.one_of(st.floats(-1e6, 1e6), st.floats(-9e18, 9e18), st.integers(-4000, 4000).map(lambda n: n / 20), st.integers(2**44, 2**51).map(lambda n: n / 4)), min_size=1, max_size=200))
 def test_one_decimal_follows_python(spark, values):
     got = column(spark, values, display.one_decimal(F.col("v")), kind="double")
     assert [g[0].removeprefix("-") for g in got] == ["%.1f" % abs(v) for v in values]
     assert [g[0] for g, v in zip(got, values) if v < 0] == ["%.1f" % v for v in values if v < 0]
 
 
+def test_odd_scores_end_no_query(spark):
+    odd = [float("nan"), float("inf"), float("-inf"), 1e30, -1e300, None, 2.0]
+    x = F.col("v")
+    got = column(spark, odd, display.one_decimal(x), display.score_colour(x), display.score_colour(x, 2), kind="double")
+    assert [g[0] for g in got] == ["nan", "inf", "-inf", "1" + "0" * 30 + ".0", "-1.0E300.0", None, "2.0"]
+    zero = display.SCORE_COLOURS[0]
+    assert [g[1] for g in got] == [zero, zero, zero, zero, zero, None, display.SCORE_COLOURS[2]]
+    assert [g[2] for g in got] == ["#80808020"] * 6 + ["#0000FF"]
+
+
 def test_rounding_and_colours(spark):
     values = [2.5, 3.5, -0.5, 5.6, -1.0, 7.2]
     x = F.col("v")
