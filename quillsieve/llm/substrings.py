@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import heapq
 import math
+import struct
 import zlib
 from dataclasses import dataclass
 
@@ -148,7 +149,9 @@ def plan_routes(docs: DataFrame, text_col: str = "text", window: int = WINDOW, b
 # What tasks send to bins. ``labels`` are a bin's labels document by document, or, in rows of
 # kind 1, bit masks of windows already decided; ``counts`` are the windows of each document.
 _SENT = "bin int, kind int, ids binary, tags binary, counts binary, labels binary"
-_HITS = "doc_id bigint, tag bigint, bin int, mask binary"
+# An answer's entry: document, tag, bin and the size of the mask that follows.
+_ENTRY = "<qIiI"
+_ENTRY_BYTES = struct.calcsize(_ENTRY)
 
 
 def _small(numbers: np.ndarray) -> bytes:
@@ -238,7 +241,18 @@ def _sent(docs: DataFrame, id_col: str, text_col: str, routes: Routes) -> DataFr
     return known.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, _SENT)
 
 
-def _repeats(rows: list[tuple], bin_of: int) -> pa.RecordBatch | None:
+def _blocks(bins: int, ids: np.ndarray, tags: np.ndarray, bin_of: int, masks: list[bytes]) -> pa.RecordBatch:
+    """Hits of documents as a row for each block of documents: entries of id, tag, bin and mask."""
+    block = (mixed(ids.astype(np.uint64)) % np.uint64(max(1, bins))).astype(np.int64)
+    entries: dict[int, list[bytes]] = {}
+    for b, i, t, m in zip(block.tolist(), ids.tolist(), tags.tolist(), masks):
+        entries.setdefault(b, []).append(struct.pack(_ENTRY, i, t, bin_of, len(m)) + m)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(list(entries), pa.int32()), pa.array([b"".join(e) for e in entries.values()], pa.binary())], names=["block", "entries"]
+    )
+
+
+def _repeats(rows: list[tuple], bin_of: int, bins: int) -> pa.RecordBatch | None:
     """A bin's subtrees: for each document with a window of a smaller one, which of its windows."""
     ids = np.concatenate([np.cumsum(_wide(r[0])) for r in rows])
     tags = np.concatenate([np.frombuffer(r[1], np.uint32) for r in rows])
@@ -257,41 +271,78 @@ def _repeats(rows: list[tuple], bin_of: int) -> pa.RecordBatch | None:
         return None
     ends = np.cumsum(counts)
     masks = [np.packbits(hit[ends[m] - counts[m] : ends[m]]).tobytes() for m in members]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(ids[members]), pa.array(tags[members].astype(np.int64)), pa.array(np.full(len(members), bin_of, np.int32)), pa.array(masks, pa.binary())],
-        names=["doc_id", "tag", "bin", "mask"],
-    )
+    return _blocks(bins, ids[members], tags[members], bin_of, masks)
 
 
-def _decided(row: tuple) -> pa.RecordBatch:
-    """A task's own decisions, a row per document; they stand under bin -1."""
+def _decided(row: tuple, bins: int) -> pa.RecordBatch:
+    """A task's own decisions; they stand under bin -1."""
     ids, tags, sizes = np.cumsum(_wide(row[0])), np.frombuffer(row[1], np.uint32), _wide(row[2])
     ends = np.cumsum((sizes + 7) // 8)
     masks = [row[3][e - (n + 7) // 8 : e] for e, n in zip(ends.tolist(), sizes.tolist())]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(ids), pa.array(tags.astype(np.int64)), pa.array(np.full(len(ids), -1, np.int32)), pa.array(masks, pa.binary())],
-        names=["doc_id", "tag", "bin", "mask"],
-    )
+    return _blocks(bins, ids, tags, -1, masks)
 
 
 def _hits(sent: DataFrame, bins: int) -> DataFrame:
-    def run(batches: ArrowBatches) -> ArrowBatches:
+    """Rows for the bins to (doc_id, marks): a row per document with hits, ``marks`` its entries.
+
+    Bins answer by blocks of documents, so that there are rows as there are documents, not a row
+    for each document and bin.
+    """
+
+    def search(batches: ArrowBatches) -> ArrowBatches:
         at, rows = None, []
         for batch in batches:
             for bin_of, kind, *row in zip(*(batch.column(i).to_pylist() for i in range(6))):
                 if kind:
-                    yield _decided(row)
+                    yield _decided(row, bins)
                     continue
                 if bin_of != at:
-                    if rows and (found := _repeats(rows, at)) is not None:
+                    if rows and (found := _repeats(rows, at, bins)) is not None:
                         yield found
                     at, rows = bin_of, []
                 rows.append(row)
-        if rows and (found := _repeats(rows, at)) is not None:
+        if rows and (found := _repeats(rows, at, bins)) is not None:
             yield found
 
+    def gather(batches: ArrowBatches) -> ArrowBatches:
+        def documents(block: list[bytes]) -> pa.RecordBatch:
+            own: dict[int, list[bytes]] = {}
+            for raw in block:
+                at = 0
+                while at < len(raw):
+                    doc_id, _, _, size = struct.unpack_from(_ENTRY, raw, at)
+                    stop = at + _ENTRY_BYTES + size
+                    own.setdefault(doc_id, []).append(raw[at:stop])
+                    at = stop
+            return pa.RecordBatch.from_arrays(
+                [pa.array(list(own), pa.int64()), pa.array([b"".join(e) for e in own.values()], pa.binary())], names=["doc_id", "marks"]
+            )
+
+        at, held = None, []
+        for batch in batches:
+            for block, entries in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if block != at:
+                    if held:
+                        yield documents(held)
+                    at, held = block, []
+                held.append(entries)
+        if held:
+            yield documents(held)
+
     dealt = sent.repartition(max(1, bins), "bin").sortWithinPartitions("bin", "kind")
-    return dealt.mapInArrow(run, _HITS)
+    blocks = dealt.mapInArrow(search, "block int, entries binary")
+    return blocks.repartition(max(1, bins), "block").sortWithinPartitions("block").mapInArrow(gather, "doc_id bigint, marks binary")
+
+
+def _marks(raw: bytes | None, tag: int) -> list[tuple[int, bytes]]:
+    """The (bin, mask) entries of the text with this tag."""
+    out, at = [], 0
+    while raw and at < len(raw):
+        _, own, bin_of, size = struct.unpack_from(_ENTRY, raw, at)
+        at += _ENTRY_BYTES + size
+        if own == tag:
+            out.append((bin_of, raw[at - size : at]))
+    return out
 
 
 def removed_words(words: list[bytes], routes: Routes, own: list[tuple[int, bytes]]) -> np.ndarray:
@@ -329,8 +380,7 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     different window of a task's share, the hits, and once the documents.
     """
     routes = plan_routes(docs, text_col, window)
-    hits = _hits(_sent(docs, id_col, text_col, routes), routes.bins)
-    own = hits.groupBy(F.col("doc_id").alias("__doc")).agg(F.collect_list(F.struct("tag", "bin", "mask")).alias("__hits"))
+    own = _hits(_sent(docs, id_col, text_col, routes), routes.bins).toDF("__doc", "__hits")
 
     @F.arrow_udf(SPANS)
     def apply(texts: pa.Array, found: pa.Array) -> pa.Array:
@@ -338,9 +388,7 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         for text, marks in zip(texts, found):
             text, marks = text.as_py(), marks.as_py()
             words = words_of(text)
-            if marks:
-                tag = tag_of(text)
-                marks = [(m["bin"], m["mask"]) for m in marks if m["tag"] == tag]
+            marks = _marks(marks, tag_of(text)) if marks and text else []
             if not marks:
                 rows.append((len(words), 0, None))
                 continue
