@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillsieve.llm.common import table
+from quillsieve.session import materialise
 
 #: Least cosine of a match.
 THRESHOLD = 0.8
@@ -98,23 +99,41 @@ class Templates:
         self.anchors = sorted(anchors)
 
 
+def _plausible(tokens: Column, templates: Templates, threshold: float) -> Column:
+    """Whether a unit's cosine with any template can reach the threshold.
+
+    Terms that no template has only make a vector longer, each by at least the square of the
+    largest weight, and known ones add at most that square times ``(1 + ln n) ** 2``, n being the
+    unit's known tokens. Units with too many strangers are left out; none with a match is.
+    """
+    known = F.filter(tokens, lambda t: t.isin(sorted(templates.weights)))
+    different = F.size(F.array_distinct(known))
+    strangers = F.size(F.array_distinct(tokens)) - different
+    most = (1.0 / threshold**2 - 1.0) * different * F.pow(F.lit(1.0) + F.log(F.greatest(F.size(known), F.lit(1))), F.lit(2.0))
+    return (different > 0) & (strangers <= most + 1e-6)
+
+
 def _scored(units: DataFrame, templates: Templates, threshold: float) -> DataFrame:
-    """(key, unit, tokens, kind) to (key, unit, name, kind, score) of each unit's best template."""
+    """(key, scope, unit, tokens) to (key, scope, unit, name, score) of each unit's best template.
+
+    Lines are compared with header templates, whole texts with all.
+    """
     spark = units.sparkSession
     # Constant tables: a row per term of a template.
-    vectors = F.broadcast(spark.createDataFrame(templates.rows, "template int, name string, t_kind string, term string, w double"))
+    vectors = F.broadcast(spark.createDataFrame(templates.rows, "template int, name string, kind string, term string, w double"))
     idf = F.broadcast(spark.createDataFrame(sorted(templates.weights.items()), "term string, idf double"))
-    counted = units.select("key", "unit", "kind", F.explode("tokens").alias("term")).groupBy("key", "unit", "kind", "term").agg(F.count("*").alias("tf"))
+    counted = units.select("key", "scope", "unit", F.explode("tokens").alias("term")).groupBy("key", "scope", "unit", "term").agg(F.count("*").alias("tf"))
     weighed = counted.join(idf, "term", "left").withColumn("v", (F.lit(1.0) + F.log("tf")) * F.coalesce("idf", F.lit(templates.unknown)))
-    sides = F.when(F.col("kind") == F.col("t_kind"), F.struct("template", "name", "w"))
+    sides = F.when((F.col("scope") == "whole") | (F.col("kind") == "header"), F.struct("template", "name", "w"))
     met = weighed.join(vectors, "term", "left").withColumn("side", sides)
     # A term's own square counts once, however many templates have it.
-    once = met.groupBy("key", "unit", "kind", "term", "v").agg(F.collect_list("side").alias("sides"))
-    lengths = once.groupBy("key", "unit", "kind").agg(F.sum(F.col("v") * F.col("v")).alias("vv"))
-    dots = once.select("key", "unit", "v", F.explode("sides").alias("s")).groupBy("key", "unit", "s.template", "s.name").agg(F.sum(F.col("v") * F.col("s.w")).alias("dot"))
-    found = dots.join(lengths, ["key", "unit"]).withColumn("score", F.round(F.col("dot") / F.sqrt("vv"), 6)).where(F.col("score") >= threshold)
+    once = met.groupBy("key", "scope", "unit", "term", "v").agg(F.collect_list("side").alias("sides"))
+    lengths = once.groupBy("key", "scope", "unit").agg(F.sum(F.col("v") * F.col("v")).alias("vv"))
+    by_template = once.select("key", "scope", "unit", "v", F.explode("sides").alias("s")).groupBy("key", "scope", "unit", "s.template", "s.name")
+    dots = by_template.agg(F.sum(F.col("v") * F.col("s.w")).alias("dot"))
+    found = dots.join(lengths, ["key", "scope", "unit"]).withColumn("score", F.round(F.col("dot") / F.sqrt("vv"), 6)).where(F.col("score") >= threshold)
     best = F.max_by("name", F.struct("score", -F.col("template"))).alias("name")
-    return found.groupBy("key", "unit", "kind").agg(best, F.max("score").alias("score"))
+    return found.groupBy("key", "scope", "unit").agg(best, F.max("score").alias("score"))
 
 
 def _ancestors(directory: Column) -> Column:
@@ -134,24 +153,23 @@ def scan(files: DataFrame, path_col: str = "path", text_col: str = "text", templ
     path of the file that says so. Null and empty texts match nothing; a null path is left out; a
     path with several rows is one file with all their lines, and its whole text is any of them.
 
-    Only lines with a term that no match can lack are taken apart, so what is shuffled follows the
-    number of license lines. Directories are made distinct before they look upwards.
+    Only texts and lines with a term that no match can lack are taken apart, and of those only
+    what can reach the threshold is shuffled, so that follows the number of licenses. Directories are made distinct before they look upwards.
     """
     templates = templates or Templates(threshold=threshold)
     pattern = r"(?i)(?<![a-z0-9])(?:" + "|".join(map(re.escape, templates.anchors)) + r")(?![a-z0-9])"
     rows = files.where(F.col(path_col).isNotNull()).select(F.col(path_col).alias("key"), F.col(text_col).alias("text"))
+    terms_of = lambda text: F.regexp_extract_all(F.lower(text), F.lit(TERMS), F.lit(0))
     hopeful = rows.where(F.col("text").rlike(pattern))
-    tokens = F.regexp_extract_all(F.lower(F.col("line")), F.lit(TERMS), F.lit(0))
-    lines = hopeful.select("key", F.explode(F.split("text", "\n")).alias("line")).where(F.col("line").rlike(pattern))
-    line_units = lines.select("key", tokens.alias("tokens")).distinct().select("key", F.xxhash64("tokens").alias("unit"), F.lit("header").alias("kind"), "tokens")
-    whole = hopeful.select("key", F.col("text").alias("line")).select("key", tokens.alias("tokens")).distinct()
-    both = F.explode(F.array(F.lit("file"), F.lit("header"))).alias("kind")
-    whole_units = whole.select("key", F.xxhash64("tokens").alias("unit"), both, "tokens")
-
-    own = _scored(line_units, templates, threshold).select("key", "name", "score", F.lit("header").alias("found"))
-    alone = _scored(whole_units.withColumn("unit", F.xxhash64("unit", "kind")), templates, threshold).select("key", "name", "score", F.lit("file").alias("found"))
-    rank = F.struct((F.col("found") == "file").alias("file"), "score", "name")
-    direct = own.union(alone).groupBy("key").agg(F.max(rank).alias("r")).select("key", "r.name", "r.score", F.when(F.col("r.file"), "file").otherwise("header").alias("found"))
+    lines = F.transform(F.filter(F.split("text", "\n"), lambda line: line.rlike(pattern)), lambda line: F.struct(F.lit("line").alias("scope"), terms_of(line).alias("tokens")))
+    whole = F.array(F.struct(F.lit("whole").alias("scope"), terms_of(F.col("text")).alias("tokens")))
+    units = hopeful.select("key", F.explode(F.concat(lines, whole)).alias("u")).select("key", "u.scope", "u.tokens")
+    # Stored once: what follows reads it several times, and it is as small as the licenses are few.
+    units = materialise(units.where(_plausible(F.col("tokens"), templates, threshold)).distinct(), "license-units")
+
+    scored = _scored(units.withColumn("unit", F.xxhash64("tokens")), templates, threshold)
+    rank = F.struct((F.col("scope") == "whole").alias("file"), "score", "name")
+    direct = scored.groupBy("key").agg(F.max(rank).alias("r")).select("key", "r.name", "r.score", F.when(F.col("r.file"), "file").otherwise("header").alias("found"))
 
     folder = F.regexp_extract("key", r"^(.*)/[^/]*$", 1)
     speakers = direct.where("found = 'file'").groupBy(folder.alias("dir")).agg(F.min_by(F.struct("name", "score", "key"), F.struct(-F.col("score"), "key")).alias("s"))
