@@ -86,7 +86,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         jobs.annotate_corpus(spark, args.source, args.data_folder, args.stats_folder, args.encoder, heads, args.glob, args.batch_size)
     elif args.job == "filter":
         head = load_heads(spark, args.heads, args.head)[args.head]
-        print(jobs.filter_corpus(spark, args.name, args.config, args.split, args.out, head, args.threshold, args.num_shards))
+        kept = jobs.filter_corpus(spark, args.name, args.config, args.split, args.out, head, args.threshold, args.num_shards)
+        print(f"{kept.rows_after} of {kept.rows_before} rows in {kept.folder}")
     elif args.job == "reshard":
         jobs.reshard_corpus(spark, args.source, args.out, args.num_shards, args.codec).show(truncate=False)
     elif args.job == "label":

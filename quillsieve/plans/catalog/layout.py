@@ -105,7 +105,7 @@ def filtered_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A dataset scored by one head, filtered, and written by contiguous shard of its input."""
     root = new_folder(spark, "web")
     write_parquet(fx.table(spark, sf_dir, "documents"), f"{root}/cfg/train")
-    folder = filter_corpus(spark, root, "cfg", "train", new_folder(spark, "kept"), fx.head(1), THRESHOLD, NUM_SHARDS)
+    folder = filter_corpus(spark, root, "cfg", "train", new_folder(spark, "kept"), fx.head(1), THRESHOLD, NUM_SHARDS).folder
     return spark.read.parquet(folder).select("doc_id", "shard", F.round("score", 6).alias("score"), F.md5("text").alias("text_md5"))
 
 

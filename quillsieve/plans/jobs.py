@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,6 +51,14 @@ def annotate_corpus(
     write_annotated(scored, data_folder, stats_folder, kept_as_is=scores)
 
 
+class Filtered(NamedTuple):
+    """Where kept rows were written, and the rows before and after."""
+
+    folder: str
+    rows_before: int
+    rows_after: int
+
+
 def filter_corpus(
     spark: SparkSession,
     name: str,
@@ -58,17 +68,18 @@ def filter_corpus(
     head: Head,
     threshold: float = 2,
     num_shards: int = 1,
-) -> str:
+) -> Filtered:
     """Score a dataset, keep what reaches the threshold, write it by contiguous shard of the input.
 
     Only kept rows are moved, to the task that writes their stretch of the input in order.
     """
     indexed = read_parquet_indexed(spark, f"{name}/{config}/{split}")
     kept = threshold_filter(compute_score(indexed, head), threshold)
-    placed = place_contiguous_shards(kept, indexed.count(), num_shards).drop(INDEX)
+    total = indexed.count()
+    placed = place_contiguous_shards(kept, total, num_shards).drop(INDEX)
     folder = threshold_folder(out, threshold, config, split)
     placed.write.mode("error").partitionBy("shard").parquet(folder)
-    return folder
+    return Filtered(folder, total, spark.read.schema(placed.schema).parquet(folder).count())
 
 
 def reshard_corpus(spark: SparkSession, source: str, out: str, num_shards: int, codec: str = DEFAULT_CODEC) -> DataFrame:
@@ -95,18 +106,27 @@ def label_corpus(
     overwrite: bool = False,
     load_tokenizer: Callable[[], Tokenizer] | None = None,
     on_error: str | None = None,
+    slices: int = 16,
 ) -> DataFrame:
     """Ask for every row not answered yet and append the results to the run of prompt and model.
 
-    Answers are written before they are parsed and counted, so each row is asked once. Returns
-    the throughput of this call.
+    Rows are cut into ``slices`` by their id, and each slice's results are appended, then its ids
+    recorded, before the next is asked: a failure loses one slice at most, and the next call asks
+    only what is missing. Within a slice answers are written before they are parsed and counted,
+    so each row is asked once. ``overwrite`` removes the run first. Returns the throughput of
+    this call.
     """
     spark = df.sparkSession
+    if slices < 1:
+        raise ValueError("there is at least one slice")
     if task.kind == "category":
         df = resource_papers(df)
     run_id = run_key_of(task.prompt, model)
     df = df.withColumn("run_id", F.lit(run_id))
-    done = None if overwrite else _written_ids(spark, out, run_id)
+    if overwrite:
+        for folder in (f"{out}/run_id={run_id}", _finished_folder(out, run_id)):
+            _path(spark, folder)[0].delete(_path(spark, folder)[1], True)
+    done = _written_ids(spark, out, run_id)
     if num_examples is not None:
         df = take_rows(df, num_examples, [order_by])
     if done is not None:
@@ -115,14 +135,31 @@ def label_corpus(
         df = resume(df, done.filter(F.col("id").isNull() | own.isNotNull()).select(own.alias("id")))
     count = count_words if load_tokenizer is None else _counter(load_tokenizer)
     ready = prepare(df, task.input_budget(count, max_tokens), load_tokenizer)
-    answered = materialise(ask(ready, task, load_responder, batch_size, on_error), "answers")
-    results = materialise(parse_responses(answered, task, model, language, load_tokenizer), "results")
-    partitions = [c for c in ("run_id", "source_file") if c in results.columns]
-    bookkeeping = ("task_no", "batch_no", "elapsed_s")
-    unstored = bookkeeping if task.kind == "rewrite" else (*bookkeeping, "num_tokens")
-    write_results(results.drop(*unstored), out, partitions, overwrite)
+    ready = materialise(ready.withColumn("_slice", F.pmod(F.xxhash64("id"), F.lit(slices)).cast("int")), "requests", ("_slice",))
+    present = sorted(r["_slice"] for r in ready.select("_slice").distinct().collect())
     tokens = "num_generated_tokens" if task.kind == "rewrite" else "num_tokens"
-    return throughput(batch_metrics(results, tokens))
+    measures = []
+    for number in present or [0]:
+        own = ready.filter(F.col("_slice") == number).drop("_slice")
+        answered = materialise(ask(own, task, load_responder, batch_size, on_error), "answers")
+        results = materialise(parse_responses(answered, task, model, language, load_tokenizer), "results")
+        partitions = [c for c in ("run_id", "source_file") if c in results.columns]
+        bookkeeping = ("task_no", "batch_no", "elapsed_s")
+        unstored = bookkeeping if task.kind == "rewrite" else (*bookkeeping, "num_tokens")
+        write_results(results.drop(*unstored), out, partitions)
+        results.select(F.col("id").cast("string").alias("id")).write.mode("append").parquet(_finished_folder(out, run_id))
+        measures.append(batch_metrics(results, tokens))
+    return throughput(reduce(DataFrame.union, measures))
+
+
+def _finished_folder(out: str, run_id: str) -> str:
+    """Table of a run's finished ids; readers of the results skip names that begin so."""
+    return f"{out}/_finished/run_id={run_id}"
+
+
+def _path(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
 
 
 def _counter(load_tokenizer: Callable[[], Tokenizer]) -> Callable[[str], int]:
@@ -131,11 +168,24 @@ def _counter(load_tokenizer: Callable[[], Tokenizer]) -> Callable[[str], int]:
 
 
 def _written_ids(spark: SparkSession, out: str, run_id: str) -> DataFrame | None:
-    """Ids of a run's result files; None where the run has none yet."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{out}/run_id={run_id}")
-    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+    """Ids that a run has results of; None where it has none yet.
+
+    They come from the table of finished ids, and from those result files only that are as new as
+    its last one or newer: a slice whose results were written but not recorded.
+    """
+    system, results = _path(spark, f"{out}/run_id={run_id}")
+    if not system.exists(results):
         return None
-    return spark.read.schema("id string").option("recursiveFileLookup", True).json(folder.toString())
+    files = spark.read.schema("id string").option("recursiveFileLookup", True)
+    finished = _finished_folder(out, run_id)
+    if not _path(spark, finished)[0].exists(_path(spark, finished)[1]):
+        return files.json(results.toString())
+    recorded = spark.read.schema("id string").parquet(finished)
+    last = recorded.agg(F.max("_metadata.file_modification_time")).first()[0]
+    newer = files.json(results.toString())
+    if last is not None:
+        newer = newer.filter(F.col("_metadata.file_modification_time") >= F.lit(last))
+    return recorded.union(newer.select("id"))
 
 
 def distil(

@@ -89,7 +89,7 @@ def materialise(df: DataFrame, label: str = "table", partition_by: tuple[str, ..
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path) if not partition_by else spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def drop_materialised(spark: SparkSession) -> None:

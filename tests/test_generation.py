@@ -1,4 +1,5 @@
 import json
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -92,6 +93,48 @@ def test_label_job_resumes_and_overwrites(spark, tmp_path):
     assert dict(results()) == {str(i): 2.0 for i in range(25)} and len(results()) == 25
 
 
+def test_a_crash_loses_one_slice_at_most(spark, tmp_path):
+    out, asked = str(tmp_path / "runs"), tmp_path / "asked"
+    asked.mkdir()
+
+    def responder(fails: bool):
+        def load():
+            def answer(requests):
+                words = [m[-1]["content"].split()[-1] for m in requests]
+                if fails and "7" in words:
+                    raise RuntimeError("server gone")
+                for w in words:
+                    (asked / f"{w}-{uuid.uuid4().hex}").touch()
+                return [json.dumps({"score": int(w)}) for w in words]
+
+            return answer
+
+        return load
+
+    run = lambda fails: label_corpus(docs(spark), SCORE, responder(fails), "m", out, on_error="fail", slices=10, batch_size=1)
+    with pytest.raises(Exception, match="server gone"):
+        run(True)
+    before = [r.id for r in spark.read.schema("id string").json(out).collect()]
+    seen = {p.name for p in asked.iterdir()}
+    run(False)
+    after = [r.id for r in spark.read.schema("id string").json(out).collect()]
+    assert 0 < len(before) < 25 and sorted(after) == sorted(map(str, range(25)))
+    again = {p.name.split("-")[0] for p in asked.iterdir() if p.name not in seen}
+    assert not again & set(before) and again | set(before) == set(map(str, range(25)))
+
+
+def test_results_written_but_not_recorded_are_not_asked_again(spark, tmp_path):
+    out = str(tmp_path / "runs")
+    run = lambda score: label_corpus(docs(spark, 6), SCORE, answering(lambda w: json.dumps({"score": score})), "m", out, slices=2)
+    run(1)
+    slice_of = F.pmod(F.xxhash64("id"), F.lit(2))
+    for part in (tmp_path / "runs" / "_finished").rglob("part-*.parquet"):
+        if spark.read.parquet(str(part)).where(slice_of == 1).count():
+            part.unlink()
+    run(2)
+    assert spark.read.json(out).count() == 6
+
+
 @pytest.mark.parametrize("task, schema", [(SCORE, schemas.SCORE_RESULT), (RESOURCE_CATEGORY, schemas.CATEGORY_RESULT), (SYNTHESIZE, schemas.GENERATION_RESULT)])
 def test_results_have_the_documented_columns(spark, tmp_path, task, schema):
     papers = docs(spark, 3).withColumns({"title": F.col("text"), "abstract": F.col("text"), "year": F.lit("2020")})
