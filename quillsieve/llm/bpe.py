@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from quillsieve.functions.text import evaluated_once
 from quillsieve.llm.common import encoded, table
-from quillsieve.llm.pieces import Chunks
+from quillsieve.llm.pieces import REMEMBERED, Chunks
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 #: Words of more bytes than this keep their candidate merges in a heap.
@@ -84,7 +84,7 @@ class _Encoder:
         self.ranks, self.find, self.words = load_ranks(path), regex.compile(pattern).findall, {}
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        if len(self.words) > 400_000:
+        if len(self.words) > REMEMBERED:
             self.words = {}
         out, known = [], self.words
         for text in texts:

@@ -18,7 +18,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quillsieve.llm.common import ArrowBatches, table, tasks_for
+from quillsieve.llm.common import ArrowBatches, encoded, table, tasks_for
 from quillsieve.llm.elias_fano import EliasFano
 from quillsieve.llm.files import attempt_name, opened
 from quillsieve.llm.pieces import Chunks
@@ -32,6 +32,10 @@ INDEX = "shard int, file string, n_docs bigint, n_ids bigint"
 _TAIL = "<4sBQQQ"
 _MAGIC = b"QTOK"
 _TEXTS = 256
+#: Chunks a task remembers, some 230 bytes each.
+REMEMBERED = 1_500_000
+#: Chunks tokenised end to end in one call.
+_PARTS = 2048
 _DOCS_AT_ONCE = 1024
 
 
@@ -47,7 +51,27 @@ def _loaded(path: str) -> tuple[Chunks, str]:
     def encode(texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, kind).tobytes() for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    return Chunks(encode), kind
+    # A byte-level token has a character for each of its bytes, so lengths tell where a part ends.
+    sizes = np.zeros(tokenizer.get_vocab_size(), np.int64)
+    for token, number in tokenizer.get_vocab().items():
+        sizes[number] = len(token)
+
+    def encode_parts(parts: list[str]) -> list[bytes]:
+        out: list[bytes] = []
+        for start in range(0, len(parts), _PARTS):
+            block = parts[start : start + _PARTS]
+            raw = encode(["".join(block)])[0]
+            ends = np.cumsum(sizes[np.frombuffer(raw, kind)])
+            stops = np.cumsum([len(encoded(p)) for p in block])
+            cut = np.searchsorted(ends, stops)
+            if (ends[cut] != stops).any():
+                raise ValueError("tokens cross the parts of a text: not a byte-level tokenizer of this kind")
+            width = np.dtype(kind).itemsize
+            stop = ((cut + 1) * width).tolist()
+            out += [raw[a:b] for a, b in zip([0, *stop], stop)]
+        return out
+
+    return Chunks(encode, encode_parts, REMEMBERED), kind
 
 
 def write_tokens(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = TOKENIZER, end_id: int = END_ID) -> DataFrame:
