@@ -21,15 +21,17 @@ NUM_CLUSTERS = 20
 def place_keywords(rows: DataFrame, encoder_id: str = "hashing-64", num_clusters: int = NUM_CLUSTERS, seed: int = 0) -> DataFrame:
     """Add ``x``, ``y`` and ``cluster_label`` from the row's keywords.
 
-    Keywords are embedded once and written, because the fits read the vectors many times.
+    Keywords are embedded once and written with the rows' keys alone, because the fits read the
+    vectors many times; the rows are met again at the end. ``run_id`` and ``line_no`` together are unique.
     """
-    worded = rows.withColumn("_text", F.coalesce(keyword_text(F.col("keywords")), F.lit("")))
+    worded = rows.select("run_id", "line_no", F.coalesce(keyword_text(F.col("keywords")), F.lit("")).alias("_text"))
     vectors = materialise(embed_documents(worded, encoder_id, text="_text", name="_vector").drop("_text"), "keywords")
     vectors = vectors.withColumn("_features", array_to_vector("_vector"))
     plane = PCA(k=2, inputCol="_features", outputCol="_plane").fit(vectors).transform(vectors)
     fitted = KMeans(k=num_clusters, seed=seed, featuresCol="_plane", predictionCol="cluster_label").fit(plane)
     placed = fitted.transform(plane).withColumn("_xy", vector_to_array("_plane"))
-    return placed.select(*rows.columns, F.col("_xy")[0].alias("x"), F.col("_xy")[1].alias("y"), "cluster_label")
+    places = placed.select("run_id", "line_no", F.col("_xy")[0].alias("x"), F.col("_xy")[1].alias("y"), "cluster_label")
+    return rows.join(materialise(places, "places"), ["run_id", "line_no"]).select(*rows.columns, "x", "y", "cluster_label")
 
 
 def top_keywords(placed: DataFrame) -> DataFrame:

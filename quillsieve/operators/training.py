@@ -27,6 +27,8 @@ from quillsieve.sizing import partitions_for
 
 #: Rows of a mini-batch one task takes, and bytes of gradients the driver may hold at once.
 ROWS_PER_TASK = 4096
+#: Labelled rows a head is fitted on. Of more a repeatable sample is taken, by a hash of the index.
+MAX_ROWS = 1_000_000
 GRADIENT_BYTES = 512 * 1024 * 1024
 
 
@@ -164,9 +166,12 @@ def train_head(
     vector: str = "embedding",
     label: str = "score",
     index: str = INDEX,
+    max_rows: int = MAX_ROWS,
 ) -> tuple[Head, DataFrame]:
     """Train a head on rows with a vector, a label and a unique ``index``.
 
+    At most about ``max_rows`` rows are fitted, so the number of steps is bounded too.
+
     Returns the head and the loss before each step (``epoch, step, num_rows, loss``). Each epoch
     visits all batches in a new order. The same rows and seed give the same weights: a batch is
     summed in order of ``index`` within a slot, and slots are added in order.
@@ -175,6 +180,10 @@ def train_head(
     total, input_dim = examples.agg(F.count(F.lit(1)), F.max(F.size(vector))).first()
     if not total:
         raise ValueError("no examples to train on")
+    if total > max_rows:
+        share = F.lit(int((1 << 40) * (max_rows / total)))
+        examples = examples.filter(F.pmod(F.xxhash64(F.col(index), F.lit(seed + 2)), F.lit(1 << 40)) < share)
+        total = max_rows
     steps = max(1, math.ceil(total / batch_size))
     weights = initial_weights(input_dim, hidden_dim, seed)
     gradient_bytes = 8 * sum(w.size for w in weights)

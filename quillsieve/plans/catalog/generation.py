@@ -101,13 +101,32 @@ def label_and_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = fx.documents(spark, sf_dir).select(F.col("id").cast("string").alias("id"), "url", "text", "lang")
     out = new_folder(spark, "results")
     for part in (docs.filter("lang = 'en'"), docs):
-        label_corpus(part, SCORE, rule_responder("score"), MODEL, out, num_examples=None, on_error="default")
+        label_corpus(part, SCORE, rule_responder("score"), MODEL, out, on_error="default", slices=2)
     written = read_results(spark, out)
     return written.groupBy(F.col("id").cast("long").alias("id"), "run_id").agg(
         F.count(F.lit(1)).alias("num_results"), F.max("score").alias("score"), F.max("reasoning").alias("reasoning"), F.max("language").alias("language")
     )
 
 
+def overwrite_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run of all documents replaced by one of the English ones, with other answers."""
+    docs = fx.documents(spark, sf_dir).select(F.col("id").cast("string").alias("id"), "url", "text", "lang")
+    out = new_folder(spark, "replaced")
+    zero = lambda: lambda requests: ['{"score": 5}'] * len(requests)
+    label_corpus(docs, SCORE, zero, MODEL, out, slices=1)
+    label_corpus(docs.filter("lang = 'en'"), SCORE, rule_responder("score"), MODEL, out, on_error="default", overwrite=True, slices=2)
+    return read_results(spark, out).select(F.col("id").cast("long").alias("id"), "run_id", "score", "reasoning")
+
+
+def results_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rewriting with one output folder per input file."""
+    docs = fx.documents(spark, sf_dir).withColumn("source_file", F.concat(F.lit("part-"), F.col("doc_id") % 3))
+    out = new_folder(spark, "by-source")
+    label_corpus(docs.select("id", "url", "text", "source_file"), SYNTHESIZE, rule_responder("rewrite"), MODEL, out, on_error="default", slices=2)
+    rows = spark.read.schema("id long, text string, run_id string, source_file string").json(out)
+    return rows.select("id", "source_file", F.md5("text").alias("text_md5"))
+
+
 def stream_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requests made as files arrive; the same rows as in one batch."""
     schema = fx.table(spark, sf_dir, "documents").schema
@@ -131,6 +150,8 @@ QUERIES = {
     "batch_throughput": batch_throughput,
     "running_tokens": running_tokens,
     "label_and_resume": label_and_resume,
+    "overwrite_run": overwrite_run,
+    "results_by_source": results_by_source,
 }
 
 
@@ -191,4 +212,9 @@ SELECT event_id, CAST(sum(CAST(props->>'$.k' AS BIGINT)) OVER (ORDER BY event_id
 WITH {_asked_sql(SCORE)}
 SELECT id, {_RUN_ID} AS run_id, CAST(1 AS BIGINT) AS num_results, CASE WHEN failed THEN 0.0 ELSE CAST(n % 6 AS DOUBLE) END AS score,
        CASE WHEN failed THEN '' ELSE digest END AS reasoning, 'arb_Arab' AS language FROM asked""",
+    "overwrite_run": f"""
+WITH {_asked_sql(SCORE)}
+SELECT id, {_RUN_ID} AS run_id, CASE WHEN failed THEN 0.0 ELSE CAST(n % 6 AS DOUBLE) END AS score, CASE WHEN failed THEN '' ELSE digest END AS reasoning
+FROM asked WHERE lang = 'en'""",
+    "results_by_source": f"SELECT id, concat('part-', id % 3) AS source_file, text_md5 FROM ({_rewrite_sql(SYNTHESIZE)})",
 }

@@ -18,7 +18,7 @@ from quillsieve.plans.catalog import fixtures as fx
 from quillsieve.plans.catalog.annotation import THRESHOLD
 from quillsieve.plans.jobs import filter_corpus, reshard_corpus
 from quillsieve.session import new_folder
-from quillsieve.sources.readers import read_dataset, read_with_source, total_examples
+from quillsieve.sources.readers import read_dataset, read_first_rows, read_with_source, total_examples
 from quillsieve.sources.writers import write_parquet, write_shards
 
 NUM_SHARDS = 7
@@ -32,6 +32,13 @@ def take_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     return take_rows(fx.table(spark, sf_dir, "documents"), 100, ["doc_id"]).select("doc_id", "lang", F.md5("text").alias("text_md5"))
 
 
+def first_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first documents by language and id, read from their file, and a slice of them."""
+    rows = read_first_rows(spark, [f"{sf_dir}/documents.parquet"], 150, ["lang", "doc_id"])
+    numbered = with_ordered_index(rows.select("lang", "doc_id"), ["lang", "doc_id"])
+    return row_range(numbered, 20, 120).select("lang", "doc_id", INDEX)
+
+
 def row_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return row_range(indexed(spark, sf_dir), 50, 150).select("doc_id", INDEX)
 
@@ -121,6 +128,7 @@ QUERIES = {
     "dataset_scan": dataset_scan,
     "take_n": take_n,
     "row_slice": row_slice,
+    "first_rows": first_rows,
     "shard_contiguous": shard_contiguous,
     "shard_modulo": shard_modulo,
     "reshard_equal": reshard_equal,
@@ -138,6 +146,9 @@ _INDEXED = "indexed AS (SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS row
 _EQUAL = f"CAST(least(row_index // (total // {NUM_SHARDS}), {NUM_SHARDS - 1}) AS INTEGER)"
 
 ORACLES = {
+    "first_rows": """
+SELECT lang, doc_id, row_index FROM (SELECT lang, doc_id, row_number() OVER (ORDER BY lang, doc_id) - 1 AS row_index FROM documents)
+WHERE row_index >= 20 AND row_index < 120""",
     "filtered_shards": f"""
 WITH {_INDEXED}, {fx.document_scores_sql()},
 sized AS (SELECT *, total // {NUM_SHARDS} AS small, total % {NUM_SHARDS} AS larger FROM indexed)

@@ -11,6 +11,7 @@ from quillsieve.operators.clusters import cluster_table, colour_legend, place_ke
 from quillsieve.operators.runs import (
     by_model,
     cap_lines,
+    one_page,
     page_counts,
     pages,
     requests,
@@ -25,6 +26,7 @@ from quillsieve.session import materialise, new_folder
 from quillsieve.sources.readers import read_runs, run_lines
 
 CAP = 100
+SHOWN_RUN = "run1"
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,6 +65,12 @@ def _paged(order: str):
     return query
 
 
+def one_page_of_a_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second page of a run by score, seven rows to a page."""
+    rows = requests(_lines(spark, sf_dir))
+    return one_page(rows, SHOWN_RUN, 2, "score", "desc", 7).select("run_id", "line_no", "score_raw")
+
+
 def page_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_counts(requests(_lines(spark, sf_dir)))
 
@@ -112,6 +120,7 @@ QUERIES = {
     "cap_per_run": cap_per_run,
     "page_by_score": _paged("desc"),
     "page_by_score_ascending": _paged("asc"),
+    "one_page": one_page_of_a_run,
     "page_counts": page_totals,
     "search_rows": search_rows,
     "tolerant_run_scan": tolerant_run_scan,
@@ -183,6 +192,10 @@ FROM complete_rows GROUP BY 1, 2, 3""",
     "cap_per_run": f"WITH {fx.RUN_LINES_SQL}, {_COMPLETE.format(cap=CAP)} SELECT run_id, line_no, complete FROM seen",
     "page_by_score": _page_sql("DESC"),
     "page_by_score_ascending": _page_sql("ASC"),
+    "one_page": f"""
+WITH {_ROWS}, numbered AS (
+  SELECT run_id, line_no, score_raw, row_number() OVER (ORDER BY coalesce(number, 0) DESC, line_no) AS sample_no FROM complete_rows WHERE run_id = '{SHOWN_RUN}')
+SELECT run_id, line_no, score_raw FROM numbered WHERE sample_no BETWEEN 8 AND 14""",
     "page_counts": f"WITH {_ROWS} SELECT run_id, count(*) AS num_requests, CAST(ceil(count(*) / 10.0) AS BIGINT) AS total_pages FROM complete_rows GROUP BY 1",
     "search_rows": f"""
 WITH {_ROWS}

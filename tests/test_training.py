@@ -87,3 +87,11 @@ def test_heads_survive_saving_and_agree_with_their_expression(spark, sf_dir, tmp
 def test_head_shapes_are_checked():
     with pytest.raises(ValueError):
         Head("x", "e", np.zeros((2, 3)), np.zeros(3), np.zeros(2), 0.0)
+
+
+def test_more_rows_than_the_bound_are_sampled(spark):
+    from quillsieve.operators.training import train_head
+
+    rows = spark.range(3000).select(F.array(F.lit(1.0), F.col("id") / 3000).alias("embedding"), F.lit(1.0).alias("score"), F.col("id").alias("row_index"))
+    _, history = train_head(rows, "h", "e", hidden_dim=2, batch_size=100, max_rows=500)
+    assert 400 < history.agg(F.sum("num_rows")).first()[0] < 600 and history.count() <= 5
