@@ -1,10 +1,10 @@
 """Benchmark decontamination by winnowing, in DataFrame functions only.
 
 A k-gram is a run of ``GRAM`` words. Of every ``w`` neighbouring k-grams of a document the one with
-the smallest hash (the first of equals) is kept as a fingerprint. A benchmark window keeps the
-smallest of its own first ``w``. The document's choice depends on those k-grams alone, so wherever
-a window occurs the document holds the same fingerprint at the same distance from its start: the
-join on hashes finds every occurrence, and comparing the words discards all others.
+the smallest hash is kept as a fingerprint. A benchmark window keeps the smallest of its own first
+``w`` with its distance from the window's start. The document's choice depends on those k-grams
+alone, so wherever a window occurs the document holds the same fingerprint: the join on hashes
+finds it, every place of that k-gram is extended to the window, and the words are compared.
 """
 
 from __future__ import annotations
@@ -45,19 +45,19 @@ def _grams(hashes: Column, k: int) -> Column:
     return F.transform(starts, lambda i: F.xxhash64(*(F.get(hashes, i + j) for j in range(k))))
 
 
-def _picks(grams: Column, w: int) -> Column:
-    """Positions of the fingerprints: the first smallest of each w neighbouring k-grams."""
+def _least(grams: Column, w: int) -> Column:
+    """The fingerprints: the smallest of each w neighbouring k-grams, each different one once."""
     starts = F.when(F.size(grams) >= w, F.sequence(F.lit(0), F.size(grams) - w)).otherwise(F.array().cast("array<int>"))
+    return F.array_distinct(F.transform(starts, lambda s: F.array_min(F.slice(grams, s + 1, w))))
 
-    def pick(s: Column) -> Column:
-        near = F.slice(grams, s + 1, w)
-        return (s + F.array_position(near, F.array_min(near)) - 1).cast("int")
 
-    return F.array_distinct(F.transform(starts, pick))
+def _marks(least: Column, k: int) -> Column:
+    return F.transform(least, lambda f: F.struct(f.alias("f"), F.lit(k).alias("k")))
 
 
-def _marks(grams: Column, at: Column) -> Column:
-    return F.transform(at, lambda p: F.struct(F.get(grams, p).alias("f"), p.alias("p")))
+def _places(grams: Column, f: Column) -> Column:
+    """Positions of a k-gram's hash."""
+    return F.filter(F.sequence(F.lit(0), F.size(grams) - 1), lambda i: F.get(grams, i) == f)
 
 
 def _schemes(lengths: set[int], window: int, gram: int) -> dict[int, list[tuple[int, int, int]]]:
@@ -116,31 +116,36 @@ def contamination(
     split = split.withColumn("n_words", F.size("w").cast("long")).withColumn("h", F.transform("w", lambda x: F.xxhash64(x)))
     for k in schemes:
         split = split.withColumn(f"g{k}", _grams(F.col("h"), k))
-    picked: list[Column] = [F.array(F.struct(F.lit(None).cast("long").alias("f"), F.lit(-1).alias("p")))]
+    # Besides its fingerprints each document has one row without, which carries its number of words.
+    picked: list[Column] = [F.array(F.struct(F.lit(None).cast("long").alias("f"), F.lit(0).alias("k")))]
     for k, members in schemes.items():
-        at = reduce(lambda a, b: F.array_union(a, b), [_picks(F.col(f"g{k}"), w) for _, _, w in members])
-        picked.append(_marks(F.col(f"g{k}"), at))
-    marks = split.select(id_col, "text_hash", "no_text", "n_words", "w", F.explode(F.concat(*picked)).alias("m"))
-    marks = marks.select(id_col, "text_hash", "no_text", "n_words", "w", "m.f", "m.p")
+        least = reduce(lambda a, b: F.array_union(a, b), [_least(F.col(f"g{k}"), w) for _, _, w in members])
+        picked.append(_marks(least, k))
+    grams = [f"g{k}" for k in schemes]
+    marks = split.select(id_col, "text_hash", "no_text", "n_words", "w", *grams, F.explode(F.concat(*picked)).alias("m"))
+    marks = marks.select(id_col, "text_hash", "no_text", "n_words", "w", *grams, "m.f", "m.k")
 
     keyed = wins.withColumn("wh", F.transform("win", lambda x: F.xxhash64(x)))
     sides = []
     for k, members in schemes.items():
         for low, high, w in members:
             side = keyed.where(F.size("win").between(low, high)).withColumn("g", F.slice(_grams(F.col("wh"), k), 1, w))
-            sides.append(side.select(F.array_min("g").alias("wf"), (F.array_position("g", F.array_min("g")) - 1).cast("int").alias("o"), "win", "items"))
+            sides.append(side.select(F.array_min("g").alias("wf"), F.lit(k).alias("wk"), (F.array_position("g", F.array_min("g")) - 1).cast("int").alias("o"), "win", "items"))
 
     parts = []
     for block in range(blocks):
         if not sides:
-            side = keyed.where("false").select(F.lit(0).cast("long").alias("wf"), F.lit(0).alias("o"), "win", "items")
+            side = keyed.where("false").select(F.lit(0).cast("long").alias("wf"), F.lit(0).alias("wk"), F.lit(0).alias("o"), "win", "items")
         else:
             side = reduce(DataFrame.union, sides).where(F.pmod(F.xxhash64("win"), F.lit(blocks)) == block)
-        met = marks.join(F.broadcast(side), F.col("f") == F.col("wf"), "left")
+        first = F.col("f").isNull()
+        met = marks.join(F.broadcast(side), (F.col("f") == F.col("wf")) & (F.col("k") == F.col("wk")), "left")
+        met = met.where((first & F.lit(block == 0)) | F.col("wf").isNotNull())
+        places = F.coalesce(*[F.when(F.col("wk") == k, _places(F.col(f"g{k}"), F.col("f"))) for k in schemes], F.lit(None).cast("array<int>"))
+        met = met.withColumn("p", F.explode_outer(places)).drop(*grams)
         start = F.col("p") - F.col("o")
         same = (F.col("p") >= F.col("o")) & (F.slice("w", F.greatest(start + 1, F.lit(1)), F.size("win")) == F.col("win"))
-        first = F.col("p") < 0
-        met = met.where((first & F.lit(block == 0)) | (F.col("wf").isNotNull() & same))
+        met = met.where(first | same)
         hit = F.when(~first, F.struct(start.alias("start"), F.size("win").alias("length")))
         parts.append(met.select(id_col, "text_hash", "no_text", "n_words", first.cast("long").alias("copies"), hit.alias("hit"), F.when(~first, F.col("items")).alias("items")))
 
