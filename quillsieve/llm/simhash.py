@@ -141,10 +141,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     empty table gives no rows; other columns are not looked at.
     """
     marks = materialise(fingerprints(docs, id_col, text_col, shingle_words), "fingerprints")
-    # A fingerprint becomes as many index rows as it has posting lists, so these tasks are small.
-    spread = marks.repartition(tasks_for(marks, INDEX_BYTES), "fp")
-    first = spread.groupBy("fp").agg(F.min(id_col).alias("first_id"))
-    roots = components(near_links(first.select("fp"), max_bits)).withColumnRenamed("id", "fp")
+    first = marks.groupBy("fp").agg(F.min(id_col).alias("first_id"))
+    # Copies are summed up before they are dealt out. A fingerprint becomes as many index rows as it
+    # has posting lists, so these tasks are small.
+    distinct = first.select("fp").repartition(tasks_for(marks, INDEX_BYTES), "fp")
+    roots = components(near_links(distinct, max_bits)).withColumnRenamed("id", "fp")
     linked = materialise(first.join(roots, "fp"), "linked")
     least = linked.groupBy("root").agg(F.min("first_id").alias("least_id"))
     classes = linked.join(least, "root").select("fp", "least_id")
