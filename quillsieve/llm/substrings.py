@@ -329,9 +329,9 @@ def _hits(sent: DataFrame, bins: int) -> DataFrame:
         if held:
             yield documents(held)
 
-    dealt = sent.repartition(max(1, bins), "bin").sortWithinPartitions("bin", "kind")
+    dealt = sent.repartitionById(max(1, bins), F.col("bin")).sortWithinPartitions("bin", "kind")
     blocks = dealt.mapInArrow(search, "block int, entries binary")
-    return blocks.repartition(max(1, bins), "block").sortWithinPartitions("block").mapInArrow(gather, "doc_id bigint, marks binary")
+    return blocks.repartitionById(max(1, bins), F.col("block")).sortWithinPartitions("block").mapInArrow(gather, "doc_id bigint, marks binary")
 
 
 def _marks(raw: bytes | None, tag: int) -> list[tuple[int, bytes]]:
