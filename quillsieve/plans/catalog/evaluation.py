@@ -9,7 +9,7 @@ from quillsieve.operators.annotate import annotate_vectors
 from quillsieve.operators.evaluate import class_of, leaderboard, macro_f1, pair_histogram, spearman, squared_error, validate
 from quillsieve.operators.heads import load_heads, save_heads, weights_table
 from quillsieve.operators.layout import INDEX
-from quillsieve.operators.training import collect_labels, label_pairs, rejected_labels, train_head, trainable
+from quillsieve.operators.training import collect_labels, initial_weights, label_pairs, rejected_labels, train_head, trainable
 from quillsieve.plans.catalog import fixtures as fx
 from quillsieve.plans.catalog.layout import indexed
 from quillsieve.session import new_folder
@@ -18,6 +18,7 @@ from quillsieve.sources.readers import run_lines
 #: Spreads the heads' scores over the classes.
 SCALE = 6
 EPOCHS = 6
+STEP_RATE = 0.01
 PREDICTED = {n: f"score_{n}" for n in fx.HEAD_NAMES}
 
 
@@ -85,6 +86,35 @@ def train_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weights_table(spark, loaded).select("head", "encoder_id", "input_dim", "hidden_dim", "layer", "row", F.size("weights").alias("num_weights"), "bias")
 
 
+def train_step(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weights after one Adam step over all embeddings."""
+    rows = trainable(indexed(spark, sf_dir, "embeddings").withColumn("score", F.col("label")))
+    head, _ = train_head(rows, "step", "hashing-64", hidden_dim=2, rate=STEP_RATE, batch_size=rows.count(), epochs=1)
+    weights = weights_table(spark, head).select("layer", "row", "bias", F.posexplode("weights").alias("place", "weight"))
+    return weights.select("layer", "row", "place", F.round("weight", 6).alias("weight"), F.round("bias", 6).alias("bias"))
+
+
+def _train_step_sql() -> str:
+    """The same step: mean gradients of the squared error, each divided by its own size."""
+    w1, b1, w2, b2 = initial_weights(64, 2, 0)
+    numbers = lambda values: f"[{', '.join(repr(float(v)) for v in values)}]"
+    stepped = lambda weight, gradient: f"{weight} - {STEP_RATE} * ({gradient}) / (abs({gradient}) + 1e-8)"
+    units = " UNION ALL ".join(f"SELECT {k} AS k, {numbers(w1[k])} AS w, CAST({float(b1[k])!r} AS DOUBLE) AS b, CAST({float(w2[k])!r} AS DOUBLE) AS out_w" for k in range(2))
+    return f"""
+WITH units AS ({units}),
+rows AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x, CAST(greatest(0, least(5, label)) AS DOUBLE) AS y FROM embeddings WHERE label < 5),
+hidden AS (SELECT vec_id, x, y, k, w, b, out_w, list_dot_product(x, w) + b AS a FROM rows, units),
+errors AS (SELECT vec_id, 2 * (sum(greatest(a, 0) * out_w) + {float(b2[0])!r} - any_value(y)) AS up FROM hidden GROUP BY vec_id),
+back AS (SELECT k, x, w, b, out_w, a, up, CASE WHEN a > 0 THEN up * out_w ELSE 0 END AS d FROM hidden JOIN errors USING (vec_id)),
+places AS (SELECT k, b, d, unnest(range(64)) AS place, unnest(w) AS weight, unnest(x) AS v FROM back),
+inner_layer AS (
+  SELECT k, place, {stepped('any_value(weight)', 'avg(d * v)')} AS weight, {stepped('any_value(b)', 'avg(d)')} AS bias FROM places GROUP BY k, place),
+outer_layer AS (
+  SELECT k, {stepped('any_value(out_w)', 'avg(up * greatest(a, 0))')} AS weight, {stepped(repr(float(b2[0])), 'avg(up)')} AS bias FROM back GROUP BY k)
+SELECT CAST(1 AS INTEGER) AS layer, k AS row, CAST(place AS INTEGER) AS place, round(weight, 6) AS weight, round(bias, 6) AS bias FROM inner_layer
+UNION ALL SELECT 2, 0, k, round(weight, 6), round(bias, 6) FROM outer_layer"""
+
+
 def train_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Training takes every row once per epoch and ends below the error of predicting the mean."""
     rows, head, history = _train(spark, sf_dir)
@@ -107,6 +137,7 @@ QUERIES = {
     "distill_labels": distill_labels,
     "rejected_labels": rejected,
     "train_head": train_weights,
+    "train_step": train_step,
     "train_progress": train_progress,
 }
 
@@ -154,6 +185,7 @@ pairs AS (
   FROM lines WHERE model = 'model-0')"""
 
 ORACLES = {
+    "train_step": _train_step_sql(),
     "macro_f1": f"WITH {_PREDICTED}, {_measures(_ROUNDED)} SELECT round(f1, 6) AS f1 FROM f1s",
     "spearman": f"WITH {_PREDICTED}, {_measures(_ROUNDED)} SELECT round(spearman, 6) AS spearman FROM rhos",
     "spearman_continuous": f"""
