@@ -72,29 +72,6 @@ class HashingEncoder:
         return unit_rows(counts)
 
 
-class TransformerEncoder:
-    """First-token vector of a transformer model; needs the model's own runtime on the executors."""
-
-    def __init__(self, model_id: str, max_tokens: int, normalise: bool):
-        try:
-            import torch
-            from transformers import AutoModel, AutoTokenizer
-        except ImportError as error:
-            raise ImportError(f"encoder {model_id} needs torch and transformers on every executor") from error
-        self._torch = torch
-        self._max_tokens = max_tokens
-        self._normalise = normalise
-        self._tokenizer = AutoTokenizer.from_pretrained(model_id, trust_remote_code=True)
-        self._model = AutoModel.from_pretrained(model_id, trust_remote_code=True).eval()
-
-    def encode(self, texts: list[str]) -> np.ndarray:
-        tokens = self._tokenizer(texts, max_length=self._max_tokens, padding="longest", truncation=True, return_tensors="pt")
-        with self._torch.inference_mode():
-            first = self._model(**tokens).last_hidden_state[:, 0]
-        vectors = first.double().numpy()
-        return unit_rows(vectors) if self._normalise else vectors
-
-
 DEFAULT_ENCODER = "Snowflake/snowflake-arctic-embed-m-v2.0"
 
 # Fixed values: (maximum tokens, normalise) of the known model ids.
@@ -107,6 +84,26 @@ BERT_SETTINGS = (512, True)
 
 _registered: dict[str, EncoderSpec] = {}
 
+#: The user's loader of model files: model id, maximum tokens and whether to normalise, to an encoder.
+ModelLoader = Callable[[str, int, bool], Encoder]
+_model_loader: list[ModelLoader] = []
+
+
+def use_model_loader(load: ModelLoader) -> None:
+    """Set how known model ids are loaded inside a task; this package brings no model runtime."""
+    _model_loader[:] = [load]
+
+
+def _loading(model_id: str, max_tokens: int, normalise: bool) -> Callable[[], Encoder]:
+    if not _model_loader:
+
+        def missing() -> Encoder:
+            raise LookupError(f"no loader for {model_id}: call use_model_loader or register_encoder first")
+
+        return missing
+    load = _model_loader[0]
+    return lambda: load(model_id, max_tokens, normalise)
+
 
 def register_encoder(encoder_id: str, load: Callable[[], Encoder], dim: int | None = None) -> None:
     """Make an encoder known by id; takes precedence over the built-in ids."""
@@ -126,8 +123,8 @@ def resolve_encoder(encoder_id: str) -> EncoderSpec:
     elif "bert" in encoder_id.lower():
         max_tokens, normalise = BERT_SETTINGS
     else:
-        raise ValueError(f"Unknown model ID: {encoder_id}")
-    return EncoderSpec(encoder_id, lambda: TransformerEncoder(encoder_id, max_tokens, normalise))
+        raise ValueError(f"{encoder_id!r} names no registered, hashing or known encoder")
+    return EncoderSpec(encoder_id, _loading(encoder_id, max_tokens, normalise))
 
 
 def in_batches(texts: pd.Series, size: int) -> Iterator[list[str]]:

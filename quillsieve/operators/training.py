@@ -56,7 +56,7 @@ def collect_labels(lines: DataFrame, model: str, train_share: float = 0.9) -> Da
     pairs = materialise(label_pairs(lines, model).filter(F.col("score").isNotNull()), "labels")
     total = pairs.count()
     if total == 0:
-        raise ValueError(f"No dataset found for {model}")
+        raise ValueError(f"the runs hold no labels by {model}")
     indexed = with_ordered_index(pairs, ["run_id", "line_no"])
     return indexed.withColumn("split", positional_split(F.col(INDEX), total, train_share))
 

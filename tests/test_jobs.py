@@ -32,10 +32,13 @@ def test_encoder_ids():
     for known in (*encoders.KNOWN_MODELS, "UBC-NLP/ARBERT", "any/BERT-like"):
         assert encoders.resolve_encoder(known).encoder_id == known
     for unknown in ("x", "hashing-0", "hashing-x"):
-        with pytest.raises(ValueError, match="Unknown model ID"):
+        with pytest.raises(ValueError, match="names no registered"):
             encoders.resolve_encoder(unknown)
-    with pytest.raises(ImportError, match="torch"):
+    with pytest.raises(LookupError, match="use_model_loader"):
         encoders.resolve_encoder("any/bert").load()
+    encoders.use_model_loader(lambda *how: how)
+    assert encoders.resolve_encoder("any/bert").load() == ("any/bert", 512, True)
+    encoders._model_loader.clear()
 
 
 def test_registered_encoder_and_guards(spark):
