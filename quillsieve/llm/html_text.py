@@ -34,10 +34,10 @@ MAIN = frozenset(("article", "main"))
 OUTSIDE_ROLES = frozenset(("navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu", "menubar"))
 #: Parts of class names and ids that mark what isn't main text.
 OUTSIDE_NAMES = frozenset(
-    "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs captcha comment comments commentlist consent cookie cookies disclaimer disqus"
-    " dropdown footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices notification outbrain pager pagination popup"
+    "ad ads adv advert adverts advertisement advertising alert announcement banner breadcrumb breadcrumbs captcha comment comments commentlist consent cookie cookies disclaimer discussion disqus"
+    " dropdown feedback footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices notification outbrain pager pagination popular popup privacy"
     " promo promoted promotion recommended related replies reply responses rail share sharing sidebar signup skip social sponsor sponsored subscribe subscription taboola"
-    " tags toolbar topbar widget".split()
+    " tags talkback teaser teasers toolbar topbar trending widget".split()
 )
 MAIN_NAMES = frozenset("article articlebody body content entry main post story text".split())
 
@@ -52,7 +52,7 @@ _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']+|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)""",
     re.S,
 )
-_MARK = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+_MARK = re.compile(r"""(?<![\w-])(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _NAME = re.compile(r"[a-z]+")
 
 
@@ -185,8 +185,11 @@ def blocks_of(page: str) -> list[Block]:
     return out
 
 
-def costs(block: Block, page_has_main: bool) -> tuple[float, float]:
-    """The classifier: (cost of dropping a block, cost of keeping it)."""
+def costs(block: Block, page_has_main: bool, page_has_hint: bool = False) -> tuple[float, float]:
+    """The classifier: (cost of dropping a block, cost of keeping it).
+
+    The two flags say whether the page marks its main text anywhere, by element or by name.
+    """
     if block.outside:
         return 0.0, SURE
     if block.main:
@@ -198,6 +201,8 @@ def costs(block: Block, page_has_main: bool) -> tuple[float, float]:
         drop += LIKELY
     if block.hinted:
         keep += LIKELY
+    elif page_has_hint and block.tag != "h1":
+        drop += LIKELY
     if density > 0.5:
         drop += 3.0
     if length >= 80:
@@ -267,7 +272,8 @@ def main_text(page: str | None) -> str:
         if block.parent in last:
             _tie(ties, last[block.parent], i, PARENT_TIE)
         last[block.parent] = i
-    pairs = [costs(b, has_main) for b in blocks]
+    has_hint = any(b.hinted and not b.outside for b in blocks)
+    pairs = [costs(b, has_main, has_hint) for b in blocks]
     kept = minimum_cut([p[0] for p in pairs], [p[1] for p in pairs], ties)
     return "\n".join(b.text for b, keep in zip(blocks, kept) if keep)
 

@@ -113,6 +113,13 @@ def test_pages_without_an_article():
     assert main_text(page) == f"{long.strip()}\nShort.\n{long.strip()}"
 
 
+def test_named_main_text_and_attributes_that_only_look_like_marks():
+    long = "This is a box that stands beside the text. It has sentences too, and they are as long as those of the text are. "
+    page = f"<h1>Head</h1><div class='post-content' data-id='ad' data-hidden='x'><p>Text.</p><p>More text.</p></div><div class='box'><p>{long}</p></div>"
+    assert main_text(page) == "Head\nText.\nMore text."
+    assert main_text("<article><p>a<p hidden>b<p aria-hidden='false'>c<p style='display: none'>d<div id=comments>e</div></article>") == "a\nc"
+
+
 def test_awkward_pages(spark):
     deep = "<div>" * 3000 + "<article>deep</article>"
     rows = [(1, None, None), (2, "u", ""), (3, "u", "plain words"), (3, "u", deep), (4, "u", "<a \"" * 500), (5, "u", "<script>x"), (6, "u", "<article>" + "<p>ab " * 5000)]
