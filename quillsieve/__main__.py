@@ -58,6 +58,8 @@ def parser() -> argparse.ArgumentParser:
     label.add_argument("--batch-size", type=int, default=10)
     label.add_argument("--max-tokens", type=int, default=MAX_TOKENS)
     label.add_argument("--overwrite", action="store_true")
+    label.add_argument("--slices", type=int, default=16, help="parts whose results are committed one by one")
+    label.add_argument("--single-line", action="store_true", help="no field of the CSV has a line break, so big files can be split")
 
     distil = commands.add_parser("distil", help="train a head on a model's labels")
     distil.add_argument("runs_folder")
@@ -92,12 +94,12 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         jobs.reshard_corpus(spark, args.source, args.out, args.num_shards, args.codec).show(truncate=False)
     elif args.job == "label":
         task = TASKS[args.task]
-        rows = read_papers(spark, args.source) if task.kind == "category" else read_with_source(spark, args.source)
+        rows = read_papers(spark, args.source, multi_line=not args.single_line) if task.kind == "category" else read_with_source(spark, args.source)
         if task.kind == "score":
             rows = rows.drop("source_file")
         jobs.label_corpus(
             rows, task, _responder(args), args.model, args.out, args.language, args.num_examples,
-            batch_size=args.batch_size, max_tokens=args.max_tokens, overwrite=args.overwrite,
+            batch_size=args.batch_size, max_tokens=args.max_tokens, overwrite=args.overwrite, slices=args.slices,
         ).show()
     elif args.job == "distil":
         name = f"{args.base_model_name}@{args.distilled_model_name}".replace("/", "__")
