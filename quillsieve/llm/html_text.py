@@ -63,6 +63,7 @@ class _Element:
     outside: bool
     main: bool
     hinted: bool
+    inner: int = 0  # open elements of the same inline tag inside that have no entry of their own
 
 
 @dataclass
@@ -104,12 +105,23 @@ def blocks_of(page: str) -> list[Block]:
     """The text blocks of a page in order; nothing of scripts, styles and comments.
 
     Markup need not be closed: a block element ends an open paragraph, an end tag ends all it
-    encloses, one without a start is ignored, and an unfinished tag at the end is dropped.
+    encloses, one without a start is ignored, and an unfinished tag at the end is dropped. An inline
+    element that is marked as not main text is a block of its own, up to its end tag.
     """
     out: list[Block] = []
     stack = [_Element("", 0, False, False, False)]
     parts: list[str] = []
     counter = links = link_chars = 0
+    marked: dict[str, list[int]] = {}  # by inline tag the places of its entries in the stack
+
+    def cut(to: int) -> None:
+        """Close all elements from this place on."""
+        for element in stack[to:]:
+            if element.tag in INLINE:
+                marked[element.tag].pop()
+                if not marked[element.tag]:
+                    del marked[element.tag]
+        del stack[to:]
 
     def flush() -> None:
         nonlocal link_chars
@@ -145,11 +157,19 @@ def blocks_of(page: str) -> list[Block]:
             if tag == "a":
                 links = max(0, links - 1)
             if tag in INLINE:
+                i = marked.get(tag, [0])[-1]
+                if not i:
+                    continue
+                if stack[i].inner:
+                    stack[i].inner -= 1
+                    continue
+                flush()
+                cut(i)
                 continue
             flush()
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == tag:
-                    del stack[i:]
+                    cut(i)
                     break
             continue
         if tag in RAW:
@@ -161,20 +181,23 @@ def blocks_of(page: str) -> list[Block]:
         if tag in INLINE:
             outside, _ = _says(tag, attributes)
             if not outside or tag in VOID or attributes.rstrip().endswith("/"):
+                if tag in marked and not attributes.rstrip().endswith("/"):
+                    stack[marked[tag][-1]].inner += 1
                 continue
+            marked.setdefault(tag, []).append(len(stack))
         flush()
         if tag in VOID:
             continue
         if tag in CLOSES_P:
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == "p":
-                    del stack[i:]
+                    cut(i)
                     break
                 if stack[i].tag not in INLINE:
                     break
         if tag in ("li", "dt", "dd", "tr", "td", "th", "option"):
             if stack[-1].tag == tag:
-                stack.pop()
+                cut(len(stack) - 1)
         links = links if tag not in CLOSES_P else 0
         top = stack[-1]
         outside, hinted = _says(tag, attributes)

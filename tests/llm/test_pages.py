@@ -136,3 +136,10 @@ def test_extraction_query_against_the_articles(spark, sf_dir):
         lines = (" ".join(html.unescape(re.sub(r"</?b>", "", x)).split()) for x in re.split(r"</?(?:p|h1|br)>", article))
         want[r.page_id] = (r.url, text := "\n".join(x for x in lines if x), len(text))
     assert {r.page_id: tuple(r)[1:] for r in op4_html_extraction(spark, sf_dir).collect()} == want
+
+
+def test_marked_inline_elements_end_at_their_end_tag():
+    assert main_text('<article><h1>T</h1><span class="share">Share</span><p>body</p><p>more</p></article>') == "T\nbody\nmore"
+    assert main_text('<article><p>a <a class="ad">x</a> b</p><p>c</p></article>') == "a\nb\nc"
+    assert main_text('<article><p>a <span hidden>x <span>y</span> z</span> b <span>c</span></p></article>') == "a\nb c"
+    assert main_text("<article><p>a <b hidden>x</p><p>b</b> c</p><p>d</p></article>") == "a\nb c\nd"
