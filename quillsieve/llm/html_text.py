@@ -29,10 +29,10 @@ INLINE = frozenset(
 CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split()
 )
-OUTSIDE = frozenset(("head", "nav", "footer", "aside", "form", "button", "dialog", "menu"))
+OUTSIDE = frozenset(("head", "nav", "footer", "aside", "button", "dialog", "menu"))
 MAIN = frozenset(("article", "main"))
-OUTSIDE_ROLES = frozenset(("navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu", "menubar"))
-#: Parts of class names and ids that mark what isn't main text.
+OUTSIDE_ROLES = frozenset(("navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "menu", "menubar"))
+#: Parts of class names and ids that hint at what isn't main text.
 OUTSIDE_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising alert announcement banner breadcrumb breadcrumbs captcha comment comments commentlist consent cookie cookies disclaimer discussion disqus"
     " dropdown feedback footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices notification outbrain pager pagination popular popup privacy"
@@ -52,7 +52,8 @@ _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']+|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)""",
     re.S,
 )
-_MARK = re.compile(r"""(?<![\w-])(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+#: One attribute, its value with it, so that nothing is looked for inside of values.
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _NAME = re.compile(r"[a-z]+")
 
 
@@ -63,6 +64,7 @@ class _Element:
     outside: bool
     main: bool
     hinted: bool
+    named: tuple = ()  # (number, the same of the next one around it) of the nearest element whose name or kind hints at other text
     inner: int = 0  # open elements of the same inline tag inside that have no entry of their own
 
 
@@ -77,28 +79,37 @@ class Block:
     hinted: bool
     tag: str
     link_chars: int
+    named: tuple = ()
 
 
-def _says(tag: str, attributes: str) -> tuple[bool, bool]:
-    """Whether an element's names and role mark what isn't main text, and whether what is."""
-    outside = hinted = False
+def _says(tag: str, attributes: str) -> tuple[bool, bool, bool]:
+    """What an element's attributes say: that it isn't main text, that it is, that its name hints it isn't.
+
+    A name with parts of both kinds, as in ``post-comments``, hints that it isn't; beside a name
+    that only says it is, such a hint doesn't count.
+    """
+    outside = hinted = named = False
     if attributes:
-        for name, *values in _MARK.findall(attributes):
+        for name, *values in _ATTRIBUTE.findall(attributes):
             name, value = name.lower(), "".join(values).lower()
             if name in ("class", "id"):
-                parts = _NAME.findall(value)
-                outside |= any(p in OUTSIDE_NAMES for p in parts)
-                hinted |= any(p in MAIN_NAMES for p in parts)
+                for word in value.split():
+                    parts = _NAME.findall(word)
+                    if any(p in OUTSIDE_NAMES for p in parts):
+                        named = True
+                    elif any(p in MAIN_NAMES for p in parts):
+                        hinted = True
             elif name == "role":
                 outside |= value in OUTSIDE_ROLES
                 hinted |= value == "main"
+                named |= value == "form"
             elif name == "hidden" or name == "aria-hidden" and value == "true":
                 outside = True
             elif name == "style" and "display:none" in value.replace(" ", ""):
                 outside = True
     if tag in ("body", "html"):
-        outside = False
-    return outside, hinted and not outside
+        outside = named = False
+    return outside, hinted and not outside, named and not hinted
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -129,7 +140,7 @@ def blocks_of(page: str) -> list[Block]:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
                 top = stack[-1]
-                out.append(Block(text, top.number, top.outside, top.main, top.hinted, top.tag, link_chars))
+                out.append(Block(text, top.number, top.outside, top.main, top.hinted, top.tag, link_chars, top.named))
             parts.clear()
         link_chars = 0
 
@@ -179,8 +190,8 @@ def blocks_of(page: str) -> list[Block]:
         if tag == "a":
             links = 1
         if tag in INLINE:
-            outside, _ = _says(tag, attributes)
-            if not outside or tag in VOID or attributes.rstrip().endswith("/"):
+            outside, _, named = _says(tag, attributes)
+            if not (outside or named) or tag in VOID or attributes.rstrip().endswith("/"):
                 if tag in marked and not attributes.rstrip().endswith("/"):
                     stack[marked[tag][-1]].inner += 1
                 continue
@@ -200,24 +211,56 @@ def blocks_of(page: str) -> list[Block]:
                 cut(len(stack) - 1)
         links = links if tag not in CLOSES_P else 0
         top = stack[-1]
-        outside, hinted = _says(tag, attributes)
+        outside, hinted, named = _says(tag, attributes)
         outside |= tag in OUTSIDE or tag == "header" and not top.main
+        # The main text's own element is what it is by its kind; an article inside of it may be a comment.
+        named = (named and not (tag in MAIN and not top.main)) or tag == "form"
         counter += 1
-        stack.append(_Element(tag, counter, top.outside or outside, top.main or tag in MAIN, top.hinted or hinted))
+        names = () if tag == "main" else (counter, top.named) if named else top.named
+        stack.append(_Element(tag, counter, top.outside or outside, top.main or tag in MAIN, top.hinted or hinted, names))
     flush()
     return out
 
 
-def costs(block: Block, page_has_main: bool, page_has_hint: bool = False) -> tuple[float, float]:
+def shares(blocks: list[Block]) -> dict[int, tuple[float, float]]:
+    """For each element whose name hints at other text its share of the page's text and its link density."""
+    total = sum(len(b.text) for b in blocks if not b.outside)
+    chars: dict[int, list[int]] = {}
+    around: dict[int, int] = {}
+    for block in blocks:
+        if not block.outside and block.named:
+            held = chars.setdefault(block.named[0], [0, 0])
+            held[0] += len(block.text)
+            held[1] += block.link_chars
+            inner = block.named
+            while inner[1] and inner[0] not in around:
+                around[inner[0]] = inner[1][0]
+                inner = inner[1]
+    for number in sorted(around, reverse=True):  # inner elements have the larger numbers
+        n, links = chars.setdefault(number, [0, 0])
+        held = chars.setdefault(around[number], [0, 0])
+        held[0] += n
+        held[1] += links
+    return {number: (n / total, min(1.0, links / n)) for number, (n, links) in chars.items()}
+
+
+def costs(block: Block, page_has_main: bool, page_has_hint: bool = False, share: float = 0.0, links: float = 0.0) -> tuple[float, float]:
     """The classifier: (cost of dropping a block, cost of keeping it).
 
     The two flags say whether the page marks its main text anywhere, by element or by name.
+    ``share`` and ``links`` are of the nearest element whose name hints at other text: the more of
+    the page's text it holds and the less of that is links, the less its name counts.
     """
     if block.outside:
         return 0.0, SURE
-    if block.main:
+    if block.main and not block.named:
         return SURE, 0.0
     keep, drop = 0.0, 0.0
+    if block.named:
+        drop += LIKELY * min(1.0, 1.5 * (1.0 - share)) * (1.0 + links)
+        if block.main:
+            keep += LIKELY * share**2
+            page_has_main = page_has_hint = False
     length = len(block.text)
     density = min(1.0, block.link_chars / length)
     if page_has_main:
@@ -296,7 +339,8 @@ def main_text(page: str | None) -> str:
             _tie(ties, last[block.parent], i, PARENT_TIE)
         last[block.parent] = i
     has_hint = any(b.hinted and not b.outside for b in blocks)
-    pairs = [costs(b, has_main, has_hint) for b in blocks]
+    named = shares(blocks)
+    pairs = [costs(b, has_main, has_hint, *(named.get(b.named[0], ()) if b.named else ())) for b in blocks]
     kept = minimum_cut([p[0] for p in pairs], [p[1] for p in pairs], ties)
     return "\n".join(b.text for b, keep in zip(blocks, kept) if keep)
 

@@ -143,3 +143,33 @@ def test_marked_inline_elements_end_at_their_end_tag():
     assert main_text('<article><p>a <a class="ad">x</a> b</p><p>c</p></article>') == "a\nb\nc"
     assert main_text('<article><p>a <span hidden>x <span>y</span> z</span> b <span>c</span></p></article>') == "a\nb c"
     assert main_text("<article><p>a <b hidden>x</p><p>b</b> c</p><p>d</p></article>") == "a\nb c\nd"
+
+
+LONG = "This is a paragraph of the page itself. It goes on for some sentences, as the text of articles does. "
+
+
+def test_values_of_other_attributes_are_not_marks():
+    for attribute in ('href="/hidden-markov-model"', 'title="A hidden gem"', 'href="/x.php?id=share"', 'href=/x.php?id=share', 'alt="a class=ad b"'):
+        assert main_text(f"<article><p>a <a {attribute}>x</a> b</p></article>") == "a x b", attribute
+        assert main_text(f"<article><div {attribute}><p>a</p></div></article>") == "a", attribute
+
+
+def test_names_and_forms_are_weighed_by_what_they_hold():
+    text = f"{LONG.strip()}\nShort.\n{LONG.strip()}"
+    body = f"<p>{LONG}</p><p>Short.</p><p>{LONG}</p>"
+    for start, end in (
+        ('<main class="content with-sidebar">', "</main>"),
+        ('<article class="post tag-privacy">', "</article>"),
+        ('<div class="content with-sidebar">', "</div>"),
+        ('<div class="with-sidebar"><article>', "</article></div>"),
+        ('<form action="/x.aspx">', "</form>"),
+        ('<form><div class="tag-privacy">', "</div></form>"),
+        ('<div class="with-sidebar">', "</div>"),
+        ('<div role="form" class="page">', "</div>"),
+    ):
+        assert main_text(f'<body>{start}{body}{end}<div class="ad">Buy this.</div></body>') == text, start
+    beside = '<div class="post-comments"><p>Nice article! I liked it a lot. Thanks for writing all of this down for us readers, really.</p></div>'
+    login = "<form>Name <input> Password <input></form>"
+    assert main_text(f"<article>{body}{beside}{login}</article>") == text
+    assert main_text(f"<div>{body}</div>{beside}{login}") == text
+    assert main_text(f'<article>{body}<div class="comments"><article class="comment">{LONG}</article></div></article>') == text
