@@ -23,10 +23,12 @@ import math
 import struct
 import zlib
 from dataclasses import dataclass
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -147,10 +149,11 @@ def plan_routes(docs: DataFrame, text_col: str = "text", window: int = WINDOW, b
 
 
 # What tasks send to bins. ``labels`` are a bin's labels document by document, or, in rows of
-# kind 1, bit masks of windows already decided; ``counts`` are the windows of each document.
-_SENT = "bin int, kind int, ids binary, tags binary, counts binary, labels binary"
-# An answer's entry: document, tag, bin and the size of the mask that follows.
-_ENTRY = "<qIiI"
+# kind 1, bit masks of windows already decided; ``counts`` are the windows of each document and
+# ``copy`` the number of the flush.
+_SENT = "bin int, kind int, copy bigint, ids binary, tags binary, counts binary, labels binary"
+# An answer's entry: document, tag, copy, bin and the size of the mask that follows.
+_ENTRY = "<qIqiI"
 _ENTRY_BYTES = struct.calcsize(_ENTRY)
 
 
@@ -219,16 +222,18 @@ class _Flush:
 
 
 def _sent(docs: DataFrame, id_col: str, text_col: str, routes: Routes) -> DataFrame:
-    names = ["bin", "kind", "ids", "tags", "counts", "labels"]
-    kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 4]
+    names = ["bin", "kind", "copy", "ids", "tags", "counts", "labels"]
+    kinds = [pa.int32(), pa.int32(), pa.int64(), *[pa.binary()] * 4]
 
     def run(batches: ArrowBatches) -> ArrowBatches:
         flush = _Flush(routes)
+        copies = count(TaskContext.get().partitionId() << 32)
 
         def emitted() -> ArrowBatches:
             if flush.docs:
-                for row in flush.rows():
-                    yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names=names)
+                copy = next(copies)
+                for bin_of, kind, *row in flush.rows():
+                    yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip((bin_of, kind, copy, *row), kinds)], names=names)
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0), batch.column(1)):
@@ -241,12 +246,12 @@ def _sent(docs: DataFrame, id_col: str, text_col: str, routes: Routes) -> DataFr
     return known.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, _SENT)
 
 
-def _blocks(bins: int, ids: np.ndarray, tags: np.ndarray, bin_of: int, masks: list[bytes]) -> pa.RecordBatch:
-    """Hits of documents as a row for each block of documents: entries of id, tag, bin and mask."""
+def _blocks(bins: int, ids: np.ndarray, tags: np.ndarray, copies: np.ndarray, bin_of: int, masks: list[bytes]) -> pa.RecordBatch:
+    """Hits of documents as a row for each block of documents: entries of id, tag, copy, bin and mask."""
     block = (mixed(ids.astype(np.uint64)) % np.uint64(max(1, bins))).astype(np.int64)
     entries: dict[int, list[bytes]] = {}
-    for b, i, t, m in zip(block.tolist(), ids.tolist(), tags.tolist(), masks):
-        entries.setdefault(b, []).append(struct.pack(_ENTRY, i, t, bin_of, len(m)) + m)
+    for b, i, t, c, m in zip(block.tolist(), ids.tolist(), tags.tolist(), copies.tolist(), masks):
+        entries.setdefault(b, []).append(struct.pack(_ENTRY, i, t, c, bin_of, len(m)) + m)
     return pa.RecordBatch.from_arrays(
         [pa.array(list(entries), pa.int32()), pa.array([b"".join(e) for e in entries.values()], pa.binary())], names=["block", "entries"]
     )
@@ -254,10 +259,11 @@ def _blocks(bins: int, ids: np.ndarray, tags: np.ndarray, bin_of: int, masks: li
 
 def _repeats(rows: list[tuple], bin_of: int, bins: int) -> pa.RecordBatch | None:
     """A bin's subtrees: for each document with a window of a smaller one, which of its windows."""
-    ids = np.concatenate([np.cumsum(_wide(r[0])) for r in rows])
-    tags = np.concatenate([np.frombuffer(r[1], np.uint32) for r in rows])
-    counts = np.concatenate([_wide(r[2]) for r in rows])
-    label = np.concatenate([np.frombuffer(r[3], np.uint64) for r in rows])
+    ids = np.concatenate([np.cumsum(_wide(r[1])) for r in rows])
+    tags = np.concatenate([np.frombuffer(r[2], np.uint32) for r in rows])
+    counts = np.concatenate([_wide(r[3]) for r in rows])
+    label = np.concatenate([np.frombuffer(r[4], np.uint64) for r in rows])
+    copies = np.concatenate([np.full(len(r[2]) // 4, r[0], np.int64) for r in rows])
     owner = np.repeat(np.arange(len(ids)), counts)
     order = np.argsort(label, kind="stable")
     ordered = label[order]
@@ -271,15 +277,15 @@ def _repeats(rows: list[tuple], bin_of: int, bins: int) -> pa.RecordBatch | None
         return None
     ends = np.cumsum(counts)
     masks = [np.packbits(hit[ends[m] - counts[m] : ends[m]]).tobytes() for m in members]
-    return _blocks(bins, ids[members], tags[members], bin_of, masks)
+    return _blocks(bins, ids[members], tags[members], copies[members], bin_of, masks)
 
 
 def _decided(row: tuple, bins: int) -> pa.RecordBatch:
     """A task's own decisions; they stand under bin -1."""
-    ids, tags, sizes = np.cumsum(_wide(row[0])), np.frombuffer(row[1], np.uint32), _wide(row[2])
+    ids, tags, sizes = np.cumsum(_wide(row[1])), np.frombuffer(row[2], np.uint32), _wide(row[3])
     ends = np.cumsum((sizes + 7) // 8)
-    masks = [row[3][e - (n + 7) // 8 : e] for e, n in zip(ends.tolist(), sizes.tolist())]
-    return _blocks(bins, ids, tags, -1, masks)
+    masks = [row[4][e - (n + 7) // 8 : e] for e, n in zip(ends.tolist(), sizes.tolist())]
+    return _blocks(bins, ids, tags, np.full(len(ids), row[0], np.int64), -1, masks)
 
 
 def _hits(sent: DataFrame, bins: int) -> DataFrame:
@@ -292,7 +298,7 @@ def _hits(sent: DataFrame, bins: int) -> DataFrame:
     def search(batches: ArrowBatches) -> ArrowBatches:
         at, rows = None, []
         for batch in batches:
-            for bin_of, kind, *row in zip(*(batch.column(i).to_pylist() for i in range(6))):
+            for bin_of, kind, *row in zip(*(batch.column(i).to_pylist() for i in range(7))):
                 if kind:
                     yield _decided(row, bins)
                     continue
@@ -306,17 +312,22 @@ def _hits(sent: DataFrame, bins: int) -> DataFrame:
 
     def gather(batches: ArrowBatches) -> ArrowBatches:
         def documents(block: list[bytes]) -> pa.RecordBatch:
-            own: dict[int, list[bytes]] = {}
+            # Equal rows have equal hits, but which are decided by a task depends on the other
+            # documents of its flush, so masks of one flush only are read together.
+            own: dict[int, dict[int, tuple[int, dict[int, bytes]]]] = {}
             for raw in block:
                 at = 0
                 while at < len(raw):
-                    doc_id, _, _, size = struct.unpack_from(_ENTRY, raw, at)
+                    doc_id, tag, copy, bin_of, size = struct.unpack_from(_ENTRY, raw, at)
                     stop = at + _ENTRY_BYTES + size
-                    own.setdefault(doc_id, []).append(raw[at:stop])
+                    texts = own.setdefault(doc_id, {})
+                    if tag not in texts or copy < texts[tag][0]:
+                        texts[tag] = (copy, {})
+                    if copy == texts[tag][0]:
+                        texts[tag][1][bin_of] = raw[at:stop]
                     at = stop
-            return pa.RecordBatch.from_arrays(
-                [pa.array(list(own), pa.int64()), pa.array([b"".join(e) for e in own.values()], pa.binary())], names=["doc_id", "marks"]
-            )
+            marks = [b"".join(e for _, entries in texts.values() for e in entries.values()) for texts in own.values()]
+            return pa.RecordBatch.from_arrays([pa.array(list(own), pa.int64()), pa.array(marks, pa.binary())], names=["doc_id", "marks"])
 
         at, held = None, []
         for batch in batches:
@@ -338,7 +349,7 @@ def _marks(raw: bytes | None, tag: int) -> list[tuple[int, bytes]]:
     """The (bin, mask) entries of the text with this tag."""
     out, at = [], 0
     while raw and at < len(raw):
-        _, own, bin_of, size = struct.unpack_from(_ENTRY, raw, at)
+        _, own, _, bin_of, size = struct.unpack_from(_ENTRY, raw, at)
         at += _ENTRY_BYTES + size
         if own == tag:
             out.append((bin_of, raw[at - size : at]))

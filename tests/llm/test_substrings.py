@@ -5,7 +5,7 @@ import pytest
 from quillsieve.llm import substrings
 from quillsieve.llm.substrings import deduplicated, without_repeats
 from tests.compare import difference
-from tests.llm.data import awkward_texts, docs, no_docs
+from tests.llm.data import awkward_texts, docs, no_docs, words
 
 
 def brute(rows, window=13):
@@ -69,3 +69,19 @@ def test_kept_digest(spark, sf_dir):
     row = op3_substring_dedup(spark, sf_dir).where("n_removed = 0").first()
     text = spark.read.parquet(f"{sf_dir}/documents.parquet").where(f"doc_id = {row.doc_id}").first().text
     assert row.kept_sha256 == hashlib.sha256(b" ".join(text.encode().split())).hexdigest()
+
+
+@pytest.mark.parametrize("flush", [1_500_000, 60])
+def test_repeated_rows_of_several_tasks(spark, tmp_path, monkeypatch, flush):
+    monkeypatch.setattr(substrings, "FLUSH_SUFFIXES", flush)
+    plan = substrings.plan_routes
+    monkeypatch.setattr(substrings, "plan_routes", lambda d, t, w: plan(d, t, w, 20))
+    first, second = words(21, 30), words(22, 30)
+    row = (9, " ".join(words(23, 20) + first + words(24, 20) + second + words(25, 20)))
+    # The copies lie in different tasks; each but the last stands beside another smaller document.
+    tasks = [[(1, " ".join(first)), row], [(2, " ".join(second)), row], [row, row], [row]]
+    for rows in tasks:
+        docs(spark, rows).coalesce(1).write.mode("append").parquet(str(tmp_path / "docs"))
+    stored = spark.read.parquet(str(tmp_path / "docs"))
+    assert stored.rdd.getNumPartitions() > 1
+    assert result(deduplicated(stored)) == brute([r for rows in tasks for r in rows])
