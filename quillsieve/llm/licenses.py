@@ -23,6 +23,8 @@ TERMS = r"[a-z0-9]+(?:\.[0-9]+)*"
 
 # Words too common to look for; they weigh as usual once a line is looked at.
 COMMON = frozenset("a all and any are as be by can copy following for form from have in is it may must no nor not of on or other person subject that the their them these this to under use used with without work you".split())
+# Names and versions, without which a text doesn't state a template's license.
+NAMES = frozenset("mit apache gnu gpl bsd mozilla mpl cc by sa nc 2.0 3 3.0 4.0".split())
 # License headers as they are commonly written.
 HEADERS = (
     ("MIT", "Released under the MIT License."),
@@ -39,7 +41,7 @@ HEADERS = (
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
 )
-# The opening grants of license files.
+# The opening grants of license files, and whole license files of MIT and BSD.
 FILES = (
     (
         "MIT",
@@ -62,6 +64,33 @@ FILES = (
         " in the hope that it will be useful, but without any warranty; without even the implied warranty of merchantability or fitness"
         " for a particular purpose.",
     ),
+    (
+        "MIT",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"
+        ' (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, '
+        "merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is "
+        "furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included"
+        ' in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS '
+        "OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND "
+        "NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER"
+        " IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER "
+        "DEALINGS IN THE SOFTWARE.",
+    ),
+    (
+        "BSD-3-Clause",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+        "conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+        "following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and "
+        "the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the "
+        "copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without"
+        ' specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS '
+        "OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR "
+        "PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+        "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS "
+        "OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT "
+        "LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF "
+        "THE POSSIBILITY OF SUCH DAMAGE.",
+    ),
 )
 
 
@@ -81,7 +110,9 @@ class Templates:
         seen = Counter(t for _, _, terms in texts for t in terms)
         self.unknown = 1.0 + math.log(1.0 + len(texts))
         self.weights = {t: 1.0 + math.log((1.0 + len(texts)) / (1.0 + n)) for t, n in seen.items()}
-        self.rows, anchors = [], set()
+        self.rows, anchors, header_anchors = [], set(), set()
+        #: Names and versions of each template that its matches must have; whole license texts are known by their words.
+        self.needs = [terms.keys() & NAMES if kind == "header" or "gnu" in terms else set() for _, kind, terms in texts]
         for number, (name, kind, terms) in enumerate(texts):
             vector = {t: (1.0 + math.log(n)) * self.weights[t] for t, n in terms.items()}
             length = math.sqrt(sum(v * v for v in vector.values()))
@@ -93,10 +124,14 @@ class Templates:
                 if left < threshold**2 - 1e-9:
                     break
                 anchors.add(t)
+                if kind == "header":
+                    header_anchors.add(t)
                 left -= (vector[t] / length) ** 2
             if left >= threshold**2:
                 raise ValueError(f"{name}: common words alone could reach the threshold")
         self.anchors = sorted(anchors)
+        #: Those that a line, which meets header templates only, can't lack.
+        self.header_anchors = sorted(header_anchors)
 
 
 def _plausible(tokens: Column, templates: Templates, threshold: float) -> Column:
@@ -114,23 +149,24 @@ def _plausible(tokens: Column, templates: Templates, threshold: float) -> Column
 
 
 def _scored(units: DataFrame, templates: Templates, threshold: float) -> DataFrame:
-    """(key, scope, unit, tokens) to (key, scope, unit, name, score) of each unit's best template.
+    """(key, scope, unit, tokens) to (key, scope, unit, name, score) of each unit's best template that it has the names and versions of.
 
     Lines are compared with header templates, whole texts with all.
     """
     spark = units.sparkSession
     # Constant tables: a row per term of a template.
-    vectors = F.broadcast(spark.createDataFrame(templates.rows, "template int, name string, kind string, term string, w double"))
+    rows = [(*r, int(r[3] in templates.needs[r[0]]), len(templates.needs[r[0]])) for r in templates.rows]
+    vectors = F.broadcast(spark.createDataFrame(rows, "template int, name string, kind string, term string, w double, needed int, needs int"))
     idf = F.broadcast(spark.createDataFrame(sorted(templates.weights.items()), "term string, idf double"))
     counted = units.select("key", "scope", "unit", F.explode("tokens").alias("term")).groupBy("key", "scope", "unit", "term").agg(F.count("*").alias("tf"))
     weighed = counted.join(idf, "term", "left").withColumn("v", (F.lit(1.0) + F.log("tf")) * F.coalesce("idf", F.lit(templates.unknown)))
-    sides = F.when((F.col("scope") == "whole") | (F.col("kind") == "header"), F.struct("template", "name", "w"))
+    sides = F.when((F.col("scope") == "whole") | (F.col("kind") == "header"), F.struct("template", "name", "w", "needed", "needs"))
     met = weighed.join(vectors, "term", "left").withColumn("side", sides)
     # A term's own square counts once, however many templates have it.
     once = met.groupBy("key", "scope", "unit", "term", "v").agg(F.collect_list("side").alias("sides"))
     lengths = once.groupBy("key", "scope", "unit").agg(F.sum(F.col("v") * F.col("v")).alias("vv"))
     by_template = once.select("key", "scope", "unit", "v", F.explode("sides").alias("s")).groupBy("key", "scope", "unit", "s.template", "s.name")
-    dots = by_template.agg(F.sum(F.col("v") * F.col("s.w")).alias("dot"))
+    dots = by_template.agg(F.sum(F.col("v") * F.col("s.w")).alias("dot"), F.sum("s.needed").alias("has"), F.max("s.needs").alias("needs")).where("has = needs")
     found = dots.join(lengths, ["key", "scope", "unit"]).withColumn("score", F.round(F.col("dot") / F.sqrt("vv"), 6)).where(F.col("score") >= threshold)
     best = F.max_by("name", F.struct("score", -F.col("template"))).alias("name")
     return found.groupBy("key", "scope", "unit").agg(best, F.max("score").alias("score"))
@@ -157,11 +193,11 @@ def scan(files: DataFrame, path_col: str = "path", text_col: str = "text", templ
     what can reach the threshold is shuffled, so that follows the number of licenses. Directories are made distinct before they look upwards.
     """
     templates = templates or Templates(threshold=threshold)
-    pattern = r"(?i)(?<![a-z0-9])(?:" + "|".join(map(re.escape, templates.anchors)) + r")(?![a-z0-9])"
+    pattern, in_lines = (r"(?i)(?<![a-z0-9])(?:" + "|".join(map(re.escape, a)) + r")(?![a-z0-9])" for a in (templates.anchors, templates.header_anchors or templates.anchors))
     rows = files.where(F.col(path_col).isNotNull()).select(F.col(path_col).alias("key"), F.col(text_col).alias("text"))
     terms_of = lambda text: F.regexp_extract_all(F.lower(text), F.lit(TERMS), F.lit(0))
     hopeful = rows.where(F.col("text").rlike(pattern))
-    lines = F.transform(F.filter(F.split("text", "\n"), lambda line: line.rlike(pattern)), lambda line: F.struct(F.lit("line").alias("scope"), terms_of(line).alias("tokens")))
+    lines = F.transform(F.filter(F.split("text", "\n"), lambda line: line.rlike(in_lines)), lambda line: F.struct(F.lit("line").alias("scope"), terms_of(line).alias("tokens")))
     whole = F.array(F.struct(F.lit("whole").alias("scope"), terms_of(F.col("text")).alias("tokens")))
     units = hopeful.select("key", F.explode(F.concat(lines, whole)).alias("u")).select("key", "u.scope", "u.tokens")
     # Stored once: what follows reads it several times, and it is as small as the licenses are few.

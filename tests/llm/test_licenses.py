@@ -95,3 +95,17 @@ def test_query_against_brute_force(spark, sf_dir):
 def test_no_python_runs(spark, sf_dir):
     plan = op5_license_scan(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_whole_license_files_and_other_names_and_versions(spark):
+    mit, bsd = FILES[-2][1], FILES[-1][1]
+    rows = [
+        ("m/LICENSE", f"MIT License\n\nCopyright (c) 2020 Jane Roe\n\n{mit}\n"),
+        ("m/x.py", "print(1)"),
+        ("b/LICENSE", f"BSD 3-Clause License\n\nCopyright (c) 2021, Jane Roe\nAll rights reserved.\n\n{bsd}\n"),
+        ("o/gpl2.py", "This work is licensed under the GNU General Public License, version 2."),
+        ("o/style.py", "Use of this source code is governed by a MIT-style license."),
+    ]
+    got = {r.path: (r.license, r.found) for r in scan(spark.createDataFrame(rows, "path string, text string")).collect()}
+    assert got["m/LICENSE"] == ("MIT", "file") and got["m/x.py"] == ("MIT", "inherited") and got["b/LICENSE"] == ("BSD-3-Clause", "file")
+    assert got["o/gpl2.py"] == got["o/style.py"] == (None, None)
