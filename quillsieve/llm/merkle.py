@@ -142,9 +142,13 @@ def manifest(
     group_col: str,
     order_col: str,
     fanout: int = FANOUT,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """Every row of ``df`` with ``leaf``, ``subroot``, ``root`` and ``steps``.
 
+    Only the columns named in ``keep`` (all by default) are carried through the sort and the
+    joins; leave out wide ones such as texts once their digests are taken.
+
     ``steps`` lists, from the leaf's level up to the root, the concatenated digests of the
     siblings left and right of the node on the path (through the group's subroot). Rows keep
     all their columns, but for any named like those added, which are replaced; the first of
@@ -154,6 +158,8 @@ def manifest(
     inner = {c: f"_mk_in{i}" for i, c in reversed(list(enumerate(names)))}
     rows = df.toDF(*[f"_mk_in{i}" for i in range(len(names))])
     rows = rows.withColumn("leaf", leaf(*[F.col(inner[c]) for c in leaf_cols]))
+    kept_names = [c for c in (names if keep is None else keep)]
+    rows = rows.select(*{inner[c] for c in (*kept_names, group_col, order_col)}, "leaf")
     keyed = rows.withColumn("_mk_g", F.col(inner[group_col]))
     order_col = inner[order_col]
     placed = with_ordered_index(keyed, [F.col(order_col).asc_nulls_first(), F.col("leaf")], by=["_mk_g"], name="_mk_i")
@@ -191,7 +197,7 @@ def manifest(
     down = down.select(F.col("_mk_g").alias("_mk_dg"), F.col("_mk_i").alias("_mk_di"), "_mk_steps", "root", "subroot")
     out = placed.join(down, placed["_mk_g"].eqNullSafe(down["_mk_dg"]) & (placed["_mk_i"] == down["_mk_di"]))
     added = ("leaf", "subroot", "root", "steps", "position")
-    kept = [F.col(f"_mk_in{i}").alias(c) for i, c in enumerate(names) if c not in added]
+    kept = [F.col(inner[c]).alias(c) for c in dict.fromkeys(kept_names) if c not in added]
     return out.select(*kept, "leaf", "subroot", "root", F.col("_mk_steps").alias("steps"), F.col("_mk_i").alias("position"))
 
 
@@ -205,10 +211,12 @@ LEAF_COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Manifest of all documents by language; every third id (by crc32) has its text lower-cased and is checked."""
     docs = table(spark, sf_dir, "documents")
-    made = manifest(docs, LEAF_COLUMNS, "lang", "doc_id")
     tampered = (F.crc32(F.col("doc_id").cast("string")) % 3) == 0
     text = F.when(tampered, F.translate("text", UPPER, LOWER)).otherwise(F.col("text"))
-    changed = leaf(*[text if c == "text" else F.col(c) for c in LEAF_COLUMNS])
+    # Both digests are taken in the scan; the texts go no further.
+    docs = docs.select(*LEAF_COLUMNS, leaf(*[text if c == "text" else F.col(c) for c in LEAF_COLUMNS]).alias("changed"))
+    made = manifest(docs, LEAF_COLUMNS, "lang", "doc_id", keep=["doc_id", "changed"])
+    changed = F.col("changed")
     return made.select(
         "doc_id",
         "leaf",
