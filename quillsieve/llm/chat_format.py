@@ -148,9 +148,13 @@ def format_conversations(
     conv = conv.select("_cf_conv", p, mixed.alias("_cf_mixed"))
     # Round 3: the whole conversation parsed and compared with its source.
     source = F.transform(p, lambda x: x["source"])
-    ok = _whole_parse(F.col("_cf_mixed")) & (_recovered(F.col("_cf_mixed")) == source)
+    conv = conv.withColumn("_cf_ok", _whole_parse(F.col("_cf_mixed")) & (_recovered(F.col("_cf_mixed")) == source))
+    ok = F.col("_cf_ok")
     all_text = F.array_join(F.transform(p, lambda x: x["all"]), "")
-    spans = F.filter(F.transform(p, lambda x: F.when(ok, x["span"]).otherwise(x["all_span"])), lambda s: s.isNotNull())
+    # Both span lists are made and one is chosen: a lambda must not name the test, or it is run per turn.
+    spans = F.when(ok, F.filter(F.transform(p, lambda x: x["span"]), lambda s: s.isNotNull())).otherwise(
+        F.filter(F.transform(p, lambda x: x["all_span"]), lambda s: s.isNotNull())
+    )
     n_esc = F.when(ok, F.aggregate(p, F.lit(0), lambda a, x: a + x["esc"])).otherwise(F.size(p))
     out = conv.select(
         F.col("_cf_conv").alias(conv_col),
