@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from quillsieve.functions import answers, text
 from quillsieve.operators.tasks import TaskSpec, count_words
+from quillsieve.session import materialise
 from quillsieve.sizing import small_side, spread
 
 #: Takes a list of chat requests, returns one answer for each: text, or the exception it met.
@@ -20,14 +21,77 @@ Responder = Callable[[list[list[dict]]], Sequence[str | Exception]]
 _EXCHANGE = "response string, error string, task_no long, batch_no long, elapsed_s double"
 
 
+#: The Bloom filter of finished keys: about ten bits and seven probes a key (near 1 % false
+#: hits), a power of two of bits, never more than 2**26 (8 MB broadcast). Past that bound the
+#: filter lets more unfinished rows through to the exact check; results never change.
+BLOOM_BITS_PER_KEY = 10
+BLOOM_MAX_BITS = 1 << 26
+BLOOM_PROBES = 7
+
+
+def _bloom_bits(n_keys: int) -> int:
+    wanted = max(64, n_keys * BLOOM_BITS_PER_KEY)
+    return min(BLOOM_MAX_BITS, 1 << (wanted - 1).bit_length())
+
+
+def _probes(value: Column, bits: int) -> list[Column]:
+    """Bit numbers of a key: one seeded 64-bit hash a probe, masked to the filter's size."""
+    return [F.xxhash64(value, F.lit(f"probe-{j}")).bitwiseAND(F.lit(bits - 1)) for j in range(BLOOM_PROBES)]
+
+
+def bloom_filter(keys: DataFrame, column: str, bits: int) -> DataFrame:
+    """One row, ``bitmap``: the filter as ``bits / 64`` longs, aggregated over all tasks.
+
+    Each task sets the bits of its keys; words are combined by ``bit_or`` in a shuffle of at
+    most ``bits / 64`` rows, then laid out densely in one row.
+    """
+    probes = keys.select(F.explode(F.array(*_probes(F.col(column), bits))).alias("_p"))
+    words = probes.groupBy(F.shiftright("_p", 6).cast("int").alias("_w")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_p").bitwiseAND(F.lit(63)).cast("int"))).alias("_v")
+    )
+    present = F.map_from_entries(F.collect_list(F.struct("_w", "_v")))
+    dense = F.transform(F.sequence(F.lit(0), F.lit(bits // 64 - 1)), lambda i: F.coalesce(F.element_at(present, i), F.lit(0).cast("long")))
+    return words.agg(dense.alias("bitmap"))
+
+
+def might_contain(bitmap: Column, value: Column, bits: int) -> Column:
+    """False only for a value whose key is surely not in the filter."""
+    test = F.lit(True)
+    for p in _probes(value, bits):
+        word = F.element_at(bitmap, F.shiftright(p, 6).cast("int") + 1)
+        shifted = F.call_function("shiftrightunsigned", word, p.bitwiseAND(F.lit(63)).cast("int"))
+        test = test & (shifted.bitwiseAND(F.lit(1)) == 1)
+    return test
+
+
 def resume(df: DataFrame, done: DataFrame, key: str = "id") -> DataFrame:
     """Rows whose key is not among the finished ones. A finished null key covers null keys.
 
-    Only distinct keys of the finished rows are read. While they are few they are broadcast and
-    the texts stay where they are.
+    Finished keys are cast to the type of ``df``'s key; one that does not cast is left out.
+    Their distinct values are counted and put in a Bloom filter, built by all tasks and
+    broadcast as one scalar. A row that misses the filter passes where it is, with no shuffle.
+    Only keys of possible hits are checked exactly, by a join of keys alone; the few false
+    hits found are the only rows of texts joined, against a side checked for size before it
+    is broadcast.
     """
-    seen = small_side(done.select(F.col(key).alias("_done")).distinct())
-    return df.join(seen, df[key].eqNullSafe(F.col("_done")), "left_anti")
+    kind = df.schema[key].dataType
+    finished = done.select(F.col(key).isNull().alias("_none"), F.col(key).try_cast(kind).alias("_done"))
+    covers_null = finished.where("_none").limit(1).count() > 0
+    keys = materialise(finished.where(~F.col("_none") & F.col("_done").isNotNull()).select("_done").distinct(), "finished-keys")
+    nulls = df.where(F.col(key).isNull() & F.lit(not covers_null))
+    present = df.where(F.col(key).isNotNull())
+    n_keys = keys.count()
+    if n_keys == 0:
+        return nulls.unionByName(present)
+    bits = _bloom_bits(n_keys)
+    bitmap = bloom_filter(keys, "_done", bits).scalar()
+    hit = might_contain(bitmap, F.col(key), bits)
+    missed = present.where(~hit)
+    hits = present.where(hit)
+    # Keys of possible hits that are not finished: false hits, about one in a hundred.
+    false_hits = hits.select(F.col(key).alias("_done")).distinct().join(keys, "_done", "left_anti")
+    kept = hits.join(small_side(false_hits), hits[key] == F.col("_done"), "left_semi")
+    return nulls.unionByName(missed).unionByName(kept)
 
 
 def resource_papers(papers: DataFrame, after_year: int = 2010) -> DataFrame:

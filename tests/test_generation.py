@@ -169,3 +169,35 @@ def test_rewrite_job_writes_by_source_file(spark, tmp_path):
     assert {r.source_file for r in written.select("source_file").distinct().collect()} == {"part-0", "part-1"}
     assert set(written.columns) >= {"text", "id", "url", "input_text", "num_tokens", "model", "num_generated_tokens"}
     assert written.count() == 25
+
+
+def test_resume_by_bloom_filter_is_exact_with_many_false_hits(spark, monkeypatch):
+    import quillsieve.operators.generation as generation
+
+    rows = [(i, f"text {i}") for i in range(3000)] + [(None, "no id")]
+    df = spark.createDataFrame(rows, "id long, text string")
+    done = spark.createDataFrame([(str(i),) for i in range(0, 3000, 3)] + [("x",)], "id string")
+    want = sorted(i for i, _ in rows if i is not None and i % 3) + [None]
+    for bits in (64, 1 << 26):
+        monkeypatch.setattr(generation, "BLOOM_MAX_BITS", bits)
+        got = sorted((r.id for r in resume(df, done).collect()), key=lambda v: (v is None, v))
+        assert got == want
+
+
+def test_bloom_filter_has_no_false_misses(spark):
+    from quillsieve.operators.generation import bloom_filter, might_contain
+
+    keys = spark.range(5000).select(F.col("id").alias("k"))
+    bitmap = bloom_filter(keys, "k", 1 << 16).scalar()
+    probe = spark.range(10000).select((F.col("id") < 5000).alias("member"), might_contain(bitmap, F.col("id"), 1 << 16).alias("hit"))
+    counts = {(r.member, r.hit): r["count"] for r in probe.groupBy("member", "hit").count().collect()}
+    assert (True, False) not in counts and counts.get((False, True), 0) < 500
+
+
+def test_resume_moves_no_texts(spark):
+    df = spark.range(2000).select("id", F.concat(F.lit("long text "), F.col("id").cast("string")).alias("text"))
+    done = spark.range(0, 2000, 2).select(F.col("id"))
+    plan = resume(df, done)._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange" in line]
+    assert exchanges and not any("text" in line for line in exchanges)
+    assert resume(df, done).count() == 1000
