@@ -1,24 +1,18 @@
-"""Incremental jobs: new files are processed as they arrive, finished keys are skipped."""
+"""Incremental jobs: new files are processed as they arrive, keys already passed are skipped by keyed state."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from quillsieve.operators.generation import resume
 
 
-def _finished(spark: SparkSession, out: str, key: str, batch_id: int) -> DataFrame | None:
-    """Keys written by other micro-batches; None before the first one is committed."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(out)
-    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not system.exists(folder) or not any(s.getPath().getName().startswith("batch_id=") for s in system.listStatus(folder)):
-        return None
-    return spark.read.parquet(out).filter(F.col("batch_id") != batch_id).select(key)
+#: Keyed state of seen keys lives in RocksDB on the executors, not in their heap.
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATE_STORE_KEY = "spark.sql.streaming.stateStore.providerClass"
 
 
 def process_files(
@@ -35,24 +29,27 @@ def process_files(
     """Apply ``step`` to every parquet file not yet seen and append the results.
 
     A micro-batch writes one ``batch_id`` folder and replaces it if it is run again, so a restart
-    neither loses nor repeats rows, and needs no look at earlier results. Give ``key`` only if the
-    same document can arrive in several files: each batch then reads all keys written so far,
-    leaves those rows out before ``step`` runs, and takes one of several rows that share a key.
-    Stops when all present files are done.
+    neither loses nor repeats rows. Give ``key`` if the same document can arrive in several
+    files: the stream then keeps the keys it has passed as keyed state, partitioned by key over
+    the executors and saved with the checkpoint. A batch looks up only its own keys, so no
+    batch reads earlier results or all keys; of rows sharing a key the first to arrive stays,
+    and a null key counts as one key. Where the session names no state store, RocksDB holds the
+    state. Stops when all present files are done.
     """
     reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    stream = reader.parquet(source)
+    if key is not None:
+        if not spark.conf.get(STATE_STORE_KEY, None) or spark.conf.get(STATE_STORE_KEY).endswith("HDFSBackedStateStoreProvider"):
+            spark.conf.set(STATE_STORE_KEY, STATE_STORE)
+        stream = stream.dropDuplicates([key])
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if key is not None:
-            done = _finished(batch.sparkSession, out, key, batch_id)
-            batch = (batch if done is None else resume(batch, done, key)).dropDuplicates([key])
         step(batch).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
     return (
-        reader.parquet(source)
-        .writeStream.foreachBatch(write)
+        stream.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

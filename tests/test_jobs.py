@@ -168,3 +168,30 @@ def test_broadcast_only_below_its_bound(spark, monkeypatch):
             patch.setattr(sizing, name, 1)
             big = sizing.small_side(spark.range(20))
         assert not big._jdf.queryExecution().analyzed().toString().startswith("ResolvedHint")
+
+
+def test_stream_keeps_keys_as_state_and_recovers_from_a_failed_batch(spark, sf_dir, tmp_path):
+    source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+    docs = fx.table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs.repartition(2).write.parquet(source)
+    docs.where("doc_id % 2 = 0").coalesce(1).write.mode("append").parquet(source)  # shared documents
+    failing = {"left": 1}
+
+    def step(batch):
+        if batch.count() and failing["left"] and len(list((tmp_path / "out").glob("batch_id=*"))) >= 1:
+            failing["left"] -= 1
+            raise RuntimeError("executor lost")
+        return batch.select("doc_id", F.length("text").alias("n"))
+
+    run = lambda: process_files(spark, source, docs.schema, step, out, checkpoint, key="doc_id", files_per_batch=1)
+    query = run()
+    try:
+        query.awaitTermination()
+    except Exception:
+        pass
+    assert failing["left"] == 0
+    query = run()
+    query.awaitTermination()
+    assert any(p["stateOperators"] for p in query.recentProgress)
+    got = spark.read.parquet(out)
+    assert got.count() == docs.count() == got.select("doc_id").distinct().count()
