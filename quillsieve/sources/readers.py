@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,7 +13,8 @@ from quillsieve.functions import text
 from quillsieve.functions.answers import as_keywords, as_text, json_type, strict_object
 from quillsieve.operators.position import file_row_counts, take_rows
 from quillsieve.schemas import PAPER, RUN_LINE, SCORE_RESULT
-from quillsieve.sizing import spread
+from quillsieve.session import materialise
+from quillsieve.sizing import small_side, spread
 
 
 def read_parquet_folder(spark: SparkSession, folder: str, glob: str = "*.parquet") -> DataFrame:
@@ -38,14 +39,69 @@ def read_with_source(spark: SparkSession, folder: str, glob: str = "*.parquet")
     return scan.select("*", name.alias("source_file"))
 
 
+def read_csv_records(spark: SparkSession, path: str, schema: T.StructType, header: bool = True, quote: str = '"', escape: str = '"') -> DataFrame:
+    """CSV whose quoted fields may hold line breaks, read by as many tasks as the files have splits.
+
+    Files are read as lines by split, like any text. Quote characters are counted per line,
+    summed per split, and a running sum over the splits of a file (a table of one row a split)
+    tells each split whether it begins inside quotes; within a split a running sum does the
+    same for each line. A line that begins outside quotes starts a record; the others join the
+    record before them, which may have begun in an earlier split. Lines are then grouped by
+    record, one shuffle of the text, and each record is parsed by ``from_csv``. With ``escape``
+    equal to ``quote`` a doubled quote counts twice and leaves the parity as it is. Lines end at
+    ``\n`` only, so a quoted ``\r\n`` stays as it was; a ``\r`` ending a record is dropped. Blank
+    records are skipped; with ``header`` the first record of each file is.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_seq"),
+        F.col("value").alias("_line"),
+    )
+    lines = lines.withColumn("_quotes", F.length("_line") - F.length(F.replace(F.col("_line"), F.lit(quote), F.lit(""))))
+    lines = materialise(lines, "csv-lines")
+    # One row a split: its quote count, first line and last line that starts a record are found below.
+    in_file = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    in_split = Window.partitionBy("_file", "_block").orderBy("_seq").rowsBetween(Window.unboundedPreceding, -1)
+    splits = lines.groupBy("_file", "_block").agg(F.sum("_quotes").alias("_q"), F.min("_seq").alias("_first"))
+    splits = splits.select("*", F.coalesce(F.sum("_q").over(in_file), F.lit(0)).alias("_q_before"))
+    splits = small_side(splits.drop("_q"))
+    placed = lines.join(splits, ["_file", "_block"])
+    inside = (F.col("_q_before") + F.coalesce(F.sum("_quotes").over(in_split), F.lit(0))) % 2 == 1
+    placed = placed.select("*", (~inside).alias("_starts"))
+    # The last record start of each split, carried into the splits after it that begin inside a record.
+    last = placed.where("_starts").groupBy("_file", "_block").agg(F.max("_seq").alias("_last"))
+    carried = splits.select("_file", "_block").join(last, ["_file", "_block"], "left")
+    carried = small_side(carried.select("_file", "_block", F.last("_last", ignorenulls=True).over(in_file).alias("_carried")))
+    upto = Window.partitionBy("_file", "_block").orderBy("_seq").rowsBetween(Window.unboundedPreceding, 0)
+    own = F.max(F.when(F.col("_starts"), F.col("_seq"))).over(upto)
+    keyed = placed.join(carried, ["_file", "_block"]).select(
+        "_file", "_seq", "_line", F.coalesce(own, F.col("_carried")).alias("_record"), ((F.col("_block") == 0) & (F.col("_seq") == F.col("_first"))).alias("_top")
+    )
+    records = keyed.where(F.col("_record").isNotNull()).groupBy("_file", "_record").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_seq", "_line"))), lambda x: x["_line"]), "\n").alias("_text"),
+        F.max("_top").alias("_top"),
+    )
+    records = records.withColumn("_text", F.regexp_replace("_text", "\r$", ""))
+    records = records.where(F.col("_text") != "")
+    if header:
+        records = records.where(~F.col("_top"))
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    parsed = F.from_csv(F.col("_text"), ddl, {"quote": quote, "escape": escape})
+    return records.select(parsed.alias("_row")).select("_row.*")
+
+
 def read_papers(spark: SparkSession, path: str, schema: T.StructType = PAPER, multi_line: bool = True) -> DataFrame:
     """Papers from CSV with a header. An empty field is null, quoted or not.
 
-    Quoted line breaks need ``multi_line``, which makes a file one task; turn it off for big
-    files without such breaks so that they can be split.
+    Quoted line breaks need ``multi_line``: records are then put together from lines read by
+    split (``read_csv_records``), so a large file is still read by many tasks.
     """
-    reader = spark.read.schema(schema).option("header", True).option("escape", '"').option("enforceSchema", False)
-    rows = reader.option("multiLine", multi_line).csv(path)
+    if multi_line:
+        rows = read_csv_records(spark, path, schema)
+    else:
+        reader = spark.read.schema(schema).option("header", True).option("escape", '"').option("enforceSchema", False)
+        rows = reader.csv(path)
     strings = [f.name for f in schema.fields if isinstance(f.dataType, T.StringType)]
     return rows.withColumns({name: F.nullif(F.col(name), F.lit("")) for name in strings})
 

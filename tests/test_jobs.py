@@ -5,6 +5,7 @@ import json
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quillsieve import sizing
 from quillsieve.operators import encoders
@@ -195,3 +196,21 @@ def test_stream_keeps_keys_as_state_and_recovers_from_a_failed_batch(spark, sf_d
     assert any(p["stateOperators"] for p in query.recentProgress)
     got = spark.read.parquet(out)
     assert got.count() == docs.count() == got.select("doc_id").distinct().count()
+
+
+def test_quoted_line_breaks_are_read_by_many_tasks(spark, tmp_path):
+    from quillsieve.sources.readers import read_csv_records
+
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in ("id", "title", "abstract")])
+    rows = [(str(i), f'T "{i}"' if i % 3 else "", "line one\nline two\r\n" * (i % 4) + ("" if i % 5 else "a,b")) for i in range(300)]
+    path = str(tmp_path / "csv")
+    spark.createDataFrame(rows, schema).coalesce(1).write.option("header", True).option("escape", '"').csv(path)
+    want = sorted(tuple(r) for r in spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", True).csv(path).collect())
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
+    try:
+        scan = spark.read.option("lineSep", "\n").text(path)
+        assert scan.rdd.getNumPartitions() > 5
+        got = sorted(tuple(r) for r in read_csv_records(spark, path, schema).collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == want and len(got) == 300
