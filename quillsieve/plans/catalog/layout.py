@@ -116,6 +116,14 @@ def filtered_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(folder).select("doc_id", "shard", F.round("score", 6).alias("score"), F.md5("text").alias("text_md5"))
 
 
+def filter_job_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows before and after the filter job, as the job reports them from its own write."""
+    root = new_folder(spark, "web")
+    write_parquet(fx.table(spark, sf_dir, "documents"), f"{root}/cfg/train")
+    done = filter_corpus(spark, root, "cfg", "train", new_folder(spark, "kept"), fx.head(1), THRESHOLD, NUM_SHARDS)
+    return spark.createDataFrame([(done.rows_before, done.rows_after)], "rows_before long, rows_after long")
+
+
 def dataset_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents kept as name/config/split, scanned by those names."""
     root = new_folder(spark, "dataset")
@@ -125,6 +133,7 @@ def dataset_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "filtered_shards": filtered_shards,
+    "filter_job_counts": filter_job_counts,
     "dataset_scan": dataset_scan,
     "take_n": take_n,
     "row_slice": row_slice,
@@ -155,6 +164,10 @@ sized AS (SELECT *, total // {NUM_SHARDS} AS small, total % {NUM_SHARDS} AS larg
 SELECT doc_id, CAST(CASE WHEN row_index < larger * (small + 1) THEN row_index // (small + 1)
   ELSE larger + (row_index - larger * (small + 1)) // small END AS INTEGER) AS shard, round(score, 6) AS score, md5(text) AS text_md5
 FROM sized JOIN document_scores USING (doc_id) WHERE k = 1 AND score >= {THRESHOLD}""",
+    "filter_job_counts": f"""
+WITH {fx.document_scores_sql()}
+SELECT (SELECT count(*) FROM documents) AS rows_before,
+       (SELECT count(*) FROM document_scores WHERE k = 1 AND score >= {THRESHOLD}) AS rows_after""",
     "dataset_scan": "SELECT doc_id, lang, md5(text) AS text_md5 FROM documents",
     "take_n": "SELECT doc_id, lang, md5(text) AS text_md5 FROM documents ORDER BY doc_id LIMIT 100",
     "row_slice": f"WITH {_INDEXED} SELECT doc_id, row_index FROM indexed WHERE row_index >= 50 AND row_index < 150",

@@ -6,7 +6,7 @@ from collections.abc import Callable, Mapping
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quillsieve.functions.text import Tokenizer, run_key_of
@@ -71,15 +71,19 @@ def filter_corpus(
 ) -> Filtered:
     """Score a dataset, keep what reaches the threshold, write it by contiguous shard of the input.
 
-    Only kept rows are moved, to the task that writes their stretch of the input in order.
+    Only kept rows are moved, to the task that writes their stretch of the input in order. The
+    rows before are counted by a scan that reads no column; the rows kept are counted by an
+    observed metric of the writing stage itself, not by reading the output again. Observed metrics of a
+    result stage are merged once per task, also when a task is run again.
     """
     indexed = read_parquet_indexed(spark, f"{name}/{config}/{split}")
     kept = threshold_filter(compute_score(indexed, head), threshold)
     total = indexed.count()
     placed = place_contiguous_shards(kept, total, num_shards).drop(INDEX)
     folder = threshold_folder(out, threshold, config, split)
-    placed.write.mode("error").partitionBy("shard").parquet(folder)
-    return Filtered(folder, total, spark.read.schema(placed.schema).parquet(folder).count())
+    written = Observation("filter_corpus")
+    placed.observe(written, F.count(F.lit(1)).alias("rows_after")).write.mode("error").partitionBy("shard").parquet(folder)
+    return Filtered(folder, total, int(written.get["rows_after"]))
 
 
 def reshard_corpus(spark: SparkSession, source: str, out: str, num_shards: int, codec: str = DEFAULT_CODEC) -> DataFrame:

@@ -58,8 +58,10 @@ def test_parity_sees_a_changed_row(spark, tmp_path):
 def test_filter_corpus_keeps_the_order_and_names_the_threshold(spark, sf_dir, tmp_path):
     docs = fx.table(spark, sf_dir, "documents")
     docs.repartition(4).write.parquet(str(tmp_path / "web/cfg/train"))
-    folder = filter_corpus(spark, str(tmp_path / "web"), "cfg", "train", str(tmp_path / "kept"), fx.head(1), 0.5, num_shards=3).folder
+    done = filter_corpus(spark, str(tmp_path / "web"), "cfg", "train", str(tmp_path / "kept"), fx.head(1), 0.5, num_shards=3)
+    folder = done.folder
     assert folder.endswith("kept_threshold_0.5/data/cfg/train")
+    assert done.rows_before == docs.count() and done.rows_after == spark.read.parquet(folder).count()
     source = position.read_parquet_indexed(spark, str(tmp_path / "web/cfg/train")).select("doc_id", F.col("row_index").alias("was"))
     kept = position.read_parquet_indexed(spark, folder).join(source, "doc_id").orderBy("row_index").collect()
     assert 0 < len(kept) < docs.count()
