@@ -6,6 +6,7 @@ from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -57,16 +58,45 @@ def _score_texts(df: DataFrame, text: str, spec: EncoderSpec, outputs: Mapping[s
     return _unpacked(df, evaluated_once(score)(F.col(text)), list(outputs))
 
 
+def split_conditions(df: DataFrame, where: Sequence[Column | str], outputs: Sequence[str]) -> tuple[list, list]:
+    """Conjuncts that need only the input's columns, and those that need what is added.
+
+    A conjunct goes first if it is analysed against the input without the output names, so one
+    that names an output, even one that replaces an input column, stays after.
+    """
+    inputs = df.drop(*outputs)
+    before, after = [], []
+    for condition in where:
+        try:
+            inputs.where(condition).schema
+            before.append(condition)
+        except AnalysisException:
+            after.append(condition)
+    return before, after
+
+
+def _filtered(df: DataFrame, conditions: Sequence[Column | str]) -> DataFrame:
+    for condition in conditions:
+        df = df.where(condition)
+    return df
+
+
 def annotate(
     df: DataFrame,
     encoder_id: str = DEFAULT_ENCODER,
     heads: Mapping[str, Head] | None = None,
     text: str = "text",
     batch_size: int = 1000,
+    where: Sequence[Column | str] = (),
 ) -> DataFrame:
     """Add ``score_<name>`` for every head; each text is embedded once.
 
     Without heads the saved default ones are used, which fit the default encoder only.
+    ``where`` holds conditions the result must meet, one conjunct each. Those on input columns
+    are applied before the texts are sent to Python, so they reach the scan as pushed filters
+    and rows that fail them are never embedded; those on scores are applied after. The
+    Python stage is kept from repeating itself, which also keeps the optimizer from moving
+    filters across it, hence the split here.
     """
     if heads is None:
         if encoder_id != DEFAULT_ENCODER:
@@ -76,12 +106,16 @@ def annotate(
             raise ValueError(f"set {DEFAULT_HEADS_KEY} to the folder of the default heads, or pass heads")
         heads = load_heads(df.sparkSession, folder)
     outputs = {f"score_{name}": head for name, head in heads.items()}
-    return _score_texts(spread(df), text, resolve_encoder(encoder_id), outputs, batch_size)
+    before, after = split_conditions(df, where, list(outputs))
+    scored = _score_texts(spread(_filtered(df, before)), text, resolve_encoder(encoder_id), outputs, batch_size)
+    return _filtered(scored, after)
 
 
-def compute_score(df: DataFrame, head: Head, text: str = "text", batch_size: int = 6144) -> DataFrame:
-    """Add ``score`` from a single head, replacing any column of that name."""
-    return _score_texts(spread(df), text, resolve_encoder(head.encoder_id), {"score": head}, batch_size)
+def compute_score(df: DataFrame, head: Head, text: str = "text", batch_size: int = 6144, where: Sequence[Column | str] = ()) -> DataFrame:
+    """Add ``score`` from a single head, replacing any column of that name; ``where`` as for ``annotate``."""
+    before, after = split_conditions(df, where, ["score"])
+    scored = _score_texts(spread(_filtered(df, before)), text, resolve_encoder(head.encoder_id), {"score": head}, batch_size)
+    return _filtered(scored, after)
 
 
 def predict_models(df: DataFrame, heads: Mapping[str, Head], text: str = "text", batch_size: int = 100) -> DataFrame:

@@ -10,6 +10,7 @@ from quillsieve.operators.annotate import (
     annotate_vectors,
     compute_score,
     counts_around_filter,
+    passes,
     predict_models,
     stats_projection,
     threshold_filter,
@@ -76,6 +77,13 @@ def filter_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts_around_filter(_scored(spark, sf_dir), THRESHOLD, by=["lang"])
 
 
+def annotate_where(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long English documents with a high second score: the first two conditions reach the scan."""
+    where = [F.col("n_chars") > 1000, F.col("lang") == "en", passes(F.round("score_b", 6), THRESHOLD)]
+    scored = annotate(fx.table(spark, sf_dir, "documents"), "hashing-64", fx.heads(), where=where)
+    return scored.select("doc_id", "lang", *rounded(*SCORES))
+
+
 def kept_by_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: score every document with three heads, keep what passes, count per language."""
     scored = annotate(fx.table(spark, sf_dir, "documents"), "hashing-64", fx.heads()).select("lang", "n_chars", *rounded(*SCORES))
@@ -151,6 +159,7 @@ QUERIES = {
     "threshold_filter": threshold_filtered,
     "filter_counts": filter_counts,
     "kept_by_language": kept_by_language,
+    "annotate_where": annotate_where,
     "stats_projection": stats_columns,
     "stats_sink": stats_sink,
     "stats_every_key": stats_every_key,
@@ -177,6 +186,10 @@ FROM document_scores s JOIN documents d USING (doc_id) GROUP BY d.doc_id, d.sour
 ORACLES = {
     "annotate_documents": _DOCUMENT_SCORES,
     "stream_annotate": _DOCUMENT_SCORES,
+    "annotate_where": f"""WITH {fx.document_scores_sql()}
+SELECT d.doc_id, d.lang, {fx.score_names()}
+FROM document_scores s JOIN documents d USING (doc_id) WHERE d.n_chars > 1000 AND d.lang = 'en'
+GROUP BY d.doc_id, d.lang HAVING round(max(CASE WHEN k = 1 THEN score END), 6) >= {THRESHOLD}""",
     "annotate_heads": _VECTOR_SCORES,
     "head_expression": _VECTOR_SCORES,
     "hash_embed": f"WITH {fx.embedded_sql(8)} SELECT doc_id, dim, round(v, 6) AS value FROM embedded",

@@ -214,3 +214,12 @@ def test_quoted_line_breaks_are_read_by_many_tasks(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert got == want and len(got) == 300
+
+
+def test_conditions_on_inputs_go_below_the_python_stage(spark, sf_dir):
+    where = [F.col("n_chars") > 100, "lang = 'en'", passes(F.col("score_a"), 0.1)]
+    scored = annotate(fx.table(spark, sf_dir, "documents"), "hashing-64", fx.heads(), where=where)
+    text = plan(scored)
+    assert "GreaterThan(n_chars,100)" in text and "EqualTo(lang,en)" in text
+    rows = scored.collect()
+    assert rows and all(r.n_chars > 100 and r.lang == "en" and r.score_a >= 0.1 for r in rows)
