@@ -21,9 +21,10 @@ Responder = Callable[[list[list[dict]]], Sequence[str | Exception]]
 _EXCHANGE = "response string, error string, task_no long, batch_no long, elapsed_s double"
 
 
-#: The Bloom filter of finished keys: about ten bits and seven probes a key (near 1 % false
-#: hits), a power of two of bits, never more than 2**26 (8 MB broadcast). Past that bound the
-#: filter lets more unfinished rows through to the exact check; results never change.
+#: The Bloom filter of finished keys, blocked: each key picks one 64-bit word and sets seven
+#: bits in it, about ten bits a key (a few in a hundred false hits). Words are a power of two,
+#: never more than 2**20 (8 MB broadcast). Past that bound the filter lets more unfinished
+#: rows through to the exact check; results never change.
 BLOOM_BITS_PER_KEY = 10
 BLOOM_MAX_BITS = 1 << 26
 BLOOM_PROBES = 7
@@ -34,9 +35,18 @@ def _bloom_bits(n_keys: int) -> int:
     return min(BLOOM_MAX_BITS, 1 << (wanted - 1).bit_length())
 
 
-def _probes(value: Column, bits: int) -> list[Column]:
-    """Bit numbers of a key: one seeded 64-bit hash a probe, masked to the filter's size."""
-    return [F.xxhash64(value, F.lit(f"probe-{j}")).bitwiseAND(F.lit(bits - 1)) for j in range(BLOOM_PROBES)]
+def _word(value: Column, bits: int) -> Column:
+    """The word of a key: one seeded 64-bit hash, masked to the number of words."""
+    return F.xxhash64(value, F.lit("word")).bitwiseAND(F.lit(bits // 64 - 1)).cast("int")
+
+
+def _mask(value: Column) -> Column:
+    """The bits a key sets in its word: one seeded hash a probe, each giving a bit number."""
+    mask = F.lit(0).cast("long")
+    for j in range(BLOOM_PROBES):
+        bit = F.xxhash64(value, F.lit(f"probe-{j}")).bitwiseAND(F.lit(63)).cast("int")
+        mask = mask.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), bit))
+    return mask
 
 
 def bloom_filter(keys: DataFrame, column: str, bits: int) -> DataFrame:
@@ -45,30 +55,26 @@ def bloom_filter(keys: DataFrame, column: str, bits: int) -> DataFrame:
     Each task sets the bits of its keys; words are combined by ``bit_or`` in a shuffle of at
     most ``bits / 64`` rows, then laid out densely in one row.
     """
-    probes = keys.select(F.explode(F.array(*_probes(F.col(column), bits))).alias("_p"))
-    words = probes.groupBy(F.shiftright("_p", 6).cast("int").alias("_w")).agg(
-        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_p").bitwiseAND(F.lit(63)).cast("int"))).alias("_v")
-    )
+    words = keys.groupBy(_word(F.col(column), bits).alias("_w")).agg(F.bit_or(_mask(F.col(column))).alias("_v"))
     present = F.map_from_entries(F.collect_list(F.struct("_w", "_v")))
     dense = F.transform(F.sequence(F.lit(0), F.lit(bits // 64 - 1)), lambda i: F.coalesce(F.element_at(present, i), F.lit(0).cast("long")))
     return words.agg(dense.alias("bitmap"))
 
 
 def might_contain(bitmap: Column, value: Column, bits: int) -> Column:
-    """False only for a value whose key is surely not in the filter."""
-    test = F.lit(True)
-    for p in _probes(value, bits):
-        word = F.element_at(bitmap, F.shiftright(p, 6).cast("int") + 1)
-        shifted = F.call_function("shiftrightunsigned", word, p.bitwiseAND(F.lit(63)).cast("int"))
-        test = test & (shifted.bitwiseAND(F.lit(1)) == 1)
-    return test
+    """False only for a value whose key is surely not in the filter.
+
+    A key's bits lie in one word, so the bitmap (a scalar subquery) is read once a row.
+    """
+    mask = _mask(value)
+    return F.element_at(bitmap, _word(value, bits) + 1).bitwiseAND(mask) == mask
 
 
 def resume(df: DataFrame, done: DataFrame, key: str = "id") -> DataFrame:
     """Rows whose key is not among the finished ones. A finished null key covers null keys.
 
     Finished keys are cast to the type of ``df``'s key; one that does not cast is left out.
-    Their distinct values are counted and put in a Bloom filter, built by all tasks and
+    Their distinct values are counted and put in a blocked Bloom filter, built by all tasks and
     broadcast as one scalar. A row that misses the filter passes where it is, with no shuffle.
     Only keys of possible hits are checked exactly, by a join of keys alone; the few false
     hits found are the only rows of texts joined, against a side checked for size before it
