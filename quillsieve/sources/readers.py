@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,11 +17,31 @@ from quillsieve.session import materialise
 from quillsieve.sizing import small_side, spread
 
 
+def stored_tables(spark: SparkSession, folder: str, glob: str) -> bool:
+    """Whether the pattern names folders: tables kept as a folder of part files."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{glob}")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return any(entry.isDirectory() for entry in found or ())
+
+
 def read_parquet_folder(spark: SparkSession, folder: str, glob: str = "*.parquet") -> DataFrame:
-    """All parquet files of a folder that match the pattern."""
+    """All parquet files of a folder that match the pattern, and those of its folders that do."""
+    if stored_tables(spark, folder, glob):
+        # A filter on names looks at files only, so the pattern becomes a part of the path.
+        return spark.read.parquet(f"{folder}/{glob}")
     return spark.read.option("pathGlobFilter", glob).parquet(folder)
 
 
+def entry_of(spark: SparkSession, folder: str, file_path: Column) -> Column:
+    """The file or folder right below ``folder`` that a file path leads through."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    full = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toUri().getPath()
+    depth = len([part for part in full.split("/") if part])
+    parts = F.split(F.regexp_replace(file_path, "^[^/:]+:(?://[^/]*)?/+|^/+", ""), "/")
+    # Paths are URIs; a plus sign in one is a plus sign.
+    return F.url_decode(F.replace(F.element_at(parts, depth + 1), F.lit("+"), F.lit("%2B")))
+
+
 def read_dataset(spark: SparkSession, name: str, config: str, split: str = "train") -> DataFrame:
     """A dataset kept as ``name/config/split``."""
     return read_parquet_folder(spark, f"{name}/{config}/{split}")
@@ -33,10 +53,14 @@ def read_first_rows(spark: SparkSession, files: Sequence[str], n: int, order_by:
 
 
 def read_with_source(spark: SparkSession, folder: str, glob: str = "*.parquet") -> DataFrame:
-    """Parquet rows with the name of the file they come from, less its ending, in ``source_file``."""
+    """Parquet rows with the name of the file they come from, less its ending, in ``source_file``.
+
+    Rows of a table kept as a folder of part files have the folder's name.
+    """
     scan = read_parquet_folder(spark, folder, glob)
-    name = F.regexp_replace(F.col("_metadata.file_name"), r"\.parquet$", "")
-    return scan.select("*", name.alias("source_file"))
+    tables = stored_tables(spark, folder, glob)
+    file = entry_of(spark, folder, F.col("_metadata.file_path")) if tables else F.col("_metadata.file_name")
+    return scan.select("*", F.regexp_replace(file, r"\.parquet$", "").alias("source_file"))
 
 
 def read_csv_records(spark: SparkSession, path: str, schema: T.StructType, header: bool = True, quote: str = '"', escape: str = '"') -> DataFrame:

@@ -12,8 +12,10 @@ from quillsieve.operators import encoders
 from quillsieve.operators.annotate import annotate, counts_around_filter, passes, predict_models, stats_projection, threshold_filter
 from quillsieve.operators.generation import ask, resume
 from quillsieve.operators.tasks import SCORE
+from quillsieve.plans.catalog import QUERIES
 from quillsieve.plans.catalog import fixtures as fx
 from quillsieve.plans.jobs import annotate_corpus, distil
+from quillsieve.sources.readers import read_with_source
 from quillsieve.sources.writers import write_parquet
 from quillsieve.streaming.incremental import process_files
 
@@ -126,6 +128,29 @@ def test_stream_equals_batch_and_restart_adds_nothing(spark, sf_dir, tmp_path):
     assert scores(spark.read.parquet(out)) == wanted
 
 
+def folder_tables(spark, root):
+    """Tables kept as folders of part files, and one kept as a file."""
+    rows = spark.range(6).selectExpr("id AS doc_id", "concat('t', id) AS text", "'en' AS lang", "'s' AS source", "3L AS n_chars")
+    rows.repartition(3).write.parquet(f"{root}/documents.parquet")
+    rows.coalesce(1).write.parquet(f"{root}/more")
+    (part,) = (root / "more").glob("part-*.parquet")
+    part.rename(root / "single.parquet")
+    for name in ("pages", "conversations", "benchmark"):
+        spark.range(2).write.parquet(f"{root}/{name}.parquet")
+    return rows
+
+
+def test_tables_kept_as_folders_are_read_and_counted_by_name(spark, tmp_path):
+    root = tmp_path / "in put+1"
+    folder_tables(spark, root)
+    found = read_with_source(spark, str(root), "documents.parquet").select("doc_id", "source_file")
+    assert sorted(tuple(r) for r in found.collect()) == [(i, "documents") for i in range(6)]
+    both = read_with_source(spark, str(root), "{documents,single}.parquet").groupBy("source_file").count()
+    assert sorted(tuple(r) for r in both.collect()) == [("documents", 6), ("single", 6)]
+    counts = sorted(tuple(r) for r in QUERIES["file_rows"](spark, str(root)).collect())
+    assert counts == [("benchmark.parquet", 2), ("conversations.parquet", 2), ("documents.parquet", 6), ("pages.parquet", 2)]
+
+
 # Plans
 
 
