@@ -151,6 +151,19 @@ def test_tables_kept_as_folders_are_read_and_counted_by_name(spark, tmp_path):
     assert counts == [("benchmark.parquet", 2), ("conversations.parquet", 2), ("documents.parquet", 6), ("pages.parquet", 2)]
 
 
+def test_streams_take_tables_kept_as_folders(spark, tmp_path):
+    root, out, checkpoint = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    rows = folder_tables(spark, root)
+    assert sorted(r.doc_id for r in QUERIES["stream_annotate"](spark, str(root)).collect()) == list(range(6))
+    run = lambda: process_files(spark, str(root), rows.schema, lambda batch: batch, out, checkpoint, glob="{documents,single}.parquet").awaitTermination()
+    run()
+    assert spark.read.parquet(out).count() == 12
+    rows.write.mode("append").parquet(f"{root}/documents.parquet")  # files added to the folder arrive too
+    run()
+    run()
+    assert spark.read.parquet(out).count() == 18
+
+
 # Plans
 
 
