@@ -164,6 +164,11 @@ def test_streams_take_tables_kept_as_folders(spark, tmp_path):
     assert spark.read.parquet(out).count() == 18
 
 
+def test_labelling_streams_take_tables_kept_as_folders(spark, tmp_path):
+    folder_tables(spark, tmp_path / "in")
+    assert sorted(r.id for r in QUERIES["stream_label"](spark, str(tmp_path / "in")).collect()) == list(range(6))
+
+
 # Plans
 
 
