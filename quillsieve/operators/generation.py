@@ -28,6 +28,8 @@ _EXCHANGE = "response string, error string, task_no long, batch_no long, elapsed
 BLOOM_BITS_PER_KEY = 10
 BLOOM_MAX_BITS = 1 << 26
 BLOOM_PROBES = 7
+#: Words of the filter one group puts in order.
+BLOOM_BLOCK = 1024
 
 
 def _bloom_bits(n_keys: int) -> int:
@@ -53,12 +55,16 @@ def bloom_filter(keys: DataFrame, column: str, bits: int) -> DataFrame:
     """One row, ``bitmap``: the filter as ``bits / 64`` longs, aggregated over all tasks.
 
     Each task sets the bits of its keys; words are combined by ``bit_or`` in a shuffle of at
-    most ``bits / 64`` rows, then laid out densely in one row.
+    most ``bits / 64`` rows, filled up with the empty words, and put in order: first within
+    blocks, by all tasks, then block by block in one row.
     """
-    words = keys.groupBy(_word(F.col(column), bits).alias("_w")).agg(F.bit_or(_mask(F.col(column))).alias("_v"))
-    present = F.map_from_entries(F.collect_list(F.struct("_w", "_v")))
-    dense = F.transform(F.sequence(F.lit(0), F.lit(bits // 64 - 1)), lambda i: F.coalesce(F.element_at(present, i), F.lit(0).cast("long")))
-    return words.agg(dense.alias("bitmap"))
+    places = keys.sparkSession.range(bits // 64).select(F.col("id").cast("int").alias("_w"), F.lit(0).cast("long").alias("_v"))
+    own = keys.select(_word(F.col(column), bits).alias("_w"), _mask(F.col(column)).alias("_v"))
+    words = own.union(places).groupBy("_w").agg(F.bit_or("_v").alias("_v"))
+    in_order = lambda place, value: F.transform(F.sort_array(F.collect_list(F.struct(place, value))), lambda x: x[value])
+    block = F.floor(F.col("_w") / BLOOM_BLOCK).cast("int")
+    blocks = words.groupBy(block.alias("_b")).agg(in_order("_w", "_v").alias("_vs"))
+    return blocks.agg(F.flatten(in_order("_b", "_vs")).alias("bitmap"))
 
 
 def might_contain(bitmap: Column, value: Column, bits: int) -> Column:

@@ -201,3 +201,20 @@ def test_resume_moves_no_texts(spark):
     exchanges = [line for line in plan.splitlines() if "Exchange" in line]
     assert exchanges and not any("text" in line for line in exchanges)
     assert resume(df, done).count() == 1000
+
+
+def test_bloom_filter_is_laid_out_in_linear_time(spark):
+    from time import perf_counter
+
+    from quillsieve.operators.generation import _mask, _word, bloom_filter
+
+    bits = 1 << 21
+    keys = spark.range(50_000).select(F.col("id").alias("k"))
+    began = perf_counter()
+    bitmap = bloom_filter(keys, "k", bits).first()["bitmap"]
+    # A lookup of every word among all words took minutes here.
+    assert perf_counter() - began < 60
+    wanted = [0] * (bits // 64)
+    for row in keys.select(_word(F.col("k"), bits).alias("w"), _mask(F.col("k")).alias("m")).collect():
+        wanted[row.w] |= row.m
+    assert bitmap == wanted
