@@ -2,12 +2,15 @@
 
 The encoder is frozen, so texts are embedded once. Vectors are written once, grouped into
 mini-batches; a step reads only the files of its batch, sums gradients on the executors, and
-the driver, which holds nothing but the weights, takes an Adam step.
+the driver, which holds nothing but the weights, takes an Adam step. Steps on small batches
+follow each other in one task for a bounded number of rows, which hands on weights and optimiser.
 """
 
 from __future__ import annotations
 
+import copy
 import math
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,6 +30,8 @@ from quillsieve.sizing import partitions_for
 
 #: Rows of a mini-batch one task takes, and bytes of gradients the driver may hold at once.
 ROWS_PER_TASK = 4096
+#: Bytes of vectors that a task holds for the small batches it steps through.
+RUN_BYTES = 32 * 1024 * 1024
 #: Labelled rows a head is fitted on. Of more a repeatable sample is taken, by a hash of the index.
 MAX_ROWS = 1_000_000
 GRADIENT_BYTES = 512 * 1024 * 1024
@@ -134,7 +139,7 @@ def mini_batches(examples: DataFrame, steps: int, slots: int, seed: int, vector:
 _PARTIAL = "slot int, num_rows long, loss double, flat binary"
 
 
-def _partial_gradients(batch: DataFrame, sent: Broadcast, slots: int) -> list[Row]:
+def _partial_gradients(batch: DataFrame, sent: Broadcast) -> list[Row]:
     """Gradient sums of one mini-batch, a row per slot. Slots hold a bounded number of rows."""
 
     def partial(rows: pd.DataFrame) -> pd.DataFrame:
@@ -143,17 +148,46 @@ def _partial_gradients(batch: DataFrame, sent: Broadcast, slots: int) -> list[Ro
         flat = np.concatenate([g.ravel() for g in gradients]).tobytes()
         return pd.DataFrame({"slot": [rows["slot"].iloc[0]], "num_rows": [len(rows)], "loss": [loss], "flat": [flat]})
 
-    def whole(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = list(parts)
-        if rows:
-            yield partial(pd.concat(rows))
-
-    if slots == 1:
-        # A small batch is one file, so one task can take it without a shuffle.
-        return batch.coalesce(1).mapInPandas(whole, _PARTIAL).collect()
     return batch.groupBy("slot").applyInPandas(partial, _PARTIAL).collect()
 
 
+_RUN = "step int, num_rows long, loss double, state binary"
+
+
+def _run_of_steps(batches: DataFrame, numbers: list[int], weights: list[np.ndarray], adam: Adam) -> tuple[list[tuple], list[np.ndarray], Adam]:
+    """Adam steps on some small batches, one after the other in one task.
+
+    Returns each step's batch, rows and loss, and the weights and optimiser after the last. A
+    step needs the weights of the step before it, so more tasks could not share them.
+    """
+    sent = batches.sparkSession.sparkContext.broadcast((weights, adam))
+
+    def steps(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found = [part for part in parts if len(part)]
+        if not found:
+            return
+        by_batch = dict(tuple(pd.concat(found).groupby("batch")))
+        # Copied, as a task that is run again starts from the same state.
+        now, own, out = *copy.deepcopy(sent.value), []
+        for number in numbers:
+            rows = by_batch.get(number)
+            if rows is None:
+                continue
+            rows = rows.sort_values("i")
+            loss, gradients = gradient_sums(now, np.stack(rows["x"].to_numpy()), rows["y"].to_numpy())
+            now = own.step(now, [g / len(rows) for g in gradients])
+            out.append([number, len(rows), loss / len(rows), None])
+        out[-1][-1] = pickle.dumps((now, own))
+        yield pd.DataFrame(out, columns=["step", "num_rows", "loss", "state"])
+
+    chosen = batches.filter(F.col("batch").isin(numbers)).select("batch", "i", "x", "y")
+    taken = chosen.coalesce(1).mapInPandas(steps, _RUN).collect()
+    sent.unpersist()
+    if not taken:
+        return [], weights, adam
+    return [(r["step"], r["num_rows"], r["loss"]) for r in taken], *pickle.loads(taken[-1]["state"])
+
+
 def train_head(
     examples: DataFrame,
     name: str,
@@ -192,18 +226,24 @@ def train_head(
     adam = Adam(rate)
     order = np.random.default_rng(seed)
     history = []
+    run = max(1, RUN_BYTES // (8 * max(1, input_dim) * batch_size)) if slots == 1 else 1
     for epoch in range(epochs):
-        for step in order.permutation(steps):
+        numbers = [int(step) for step in order.permutation(steps)]
+        if slots == 1:
+            for start in range(0, steps, run):
+                taken, weights, adam = _run_of_steps(batches, numbers[start : start + run], weights, adam)
+                history += [(epoch, *step) for step in taken]
+            continue
+        for step in numbers:
             sent = spark.sparkContext.broadcast(weights)
-
-            parts = _partial_gradients(batches.filter(F.col("batch") == int(step)), sent, slots)
+            parts = _partial_gradients(batches.filter(F.col("batch") == step), sent)
             sent.unpersist()
             if not parts:
                 continue
             parts.sort(key=lambda r: r["slot"])
             count = sum(r["num_rows"] for r in parts)
             flat = sum(np.frombuffer(r["flat"]) for r in parts) / count
-            history.append((epoch, int(step), count, sum(r["loss"] for r in parts) / count))
+            history.append((epoch, step, count, sum(r["loss"] for r in parts) / count))
             weights = adam.step(weights, _unflatten(flat, weights))
     head = Head(name, encoder_id, weights[0], weights[1], weights[2], float(weights[3][0]))
     return head, spark.createDataFrame(history, "epoch int, step int, num_rows long, loss double")

@@ -95,3 +95,20 @@ def test_more_rows_than_the_bound_are_sampled(spark):
     rows = spark.range(3000).select(F.array(F.lit(1.0), F.col("id") / 3000).alias("embedding"), F.lit(1.0).alias("score"), F.col("id").alias("row_index"))
     _, history = train_head(rows, "h", "e", hidden_dim=2, batch_size=100, max_rows=500)
     assert 400 < history.agg(F.sum("num_rows")).first()[0] < 600 and history.count() <= 5
+
+
+def test_small_batches_share_jobs_and_give_the_same_weights(spark, examples, monkeypatch):
+    def train(group):
+        spark.sparkContext.setJobGroup(group, "training")
+        try:
+            head, history = training.train_head(examples, "h", "hashing-64", hidden_dim=4, rate=0.05, batch_size=10, epochs=2, seed=3)
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return head, sorted(map(tuple, history.collect())), len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    together, seen, jobs = train("together")
+    monkeypatch.setattr(training, "RUN_BYTES", 3 * 8 * 64 * 10)
+    by_threes, seen_again, _ = train("by threes")
+    assert np.array_equal(together.w1, by_threes.w1) and np.array_equal(together.w2, by_threes.w2) and together.b2 == by_threes.b2
+    assert seen == seen_again and len(seen) > 40
+    assert jobs < len(seen) / 2
