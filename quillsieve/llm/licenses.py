@@ -137,14 +137,18 @@ class Templates:
 def _plausible(tokens: Column, templates: Templates, threshold: float) -> Column:
     """Whether a unit's cosine with any template can reach the threshold.
 
-    Terms that no template has only make a vector longer, each by at least the square of the
-    largest weight, and known ones add at most that square times ``(1 + ln n) ** 2``, n being the
-    unit's known tokens. Units with too many strangers are left out; none with a match is.
+    Terms that no template has only make a vector longer, each by at least the square of their
+    weight. A known term found n times adds the square of its own weight times ``(1 + ln n) ** 2``,
+    which is concave: over all known terms it adds most where each is found equally often and weighs as
+    much as the heaviest. Units with too many strangers are left out; none with a match is.
     """
     known = F.filter(tokens, lambda t: t.isin(sorted(templates.weights)))
     different = F.size(F.array_distinct(known))
     strangers = F.size(F.array_distinct(tokens)) - different
-    most = (1.0 / threshold**2 - 1.0) * different * F.pow(F.lit(1.0) + F.log(F.greatest(F.size(known), F.lit(1))), F.lit(2.0))
+    # Scores are rounded to six places before they are compared.
+    share = (1.0 / (threshold - 1e-6) ** 2 - 1.0) * (max(templates.weights.values()) / templates.unknown) ** 2
+    often = F.size(known) / F.greatest(different, F.lit(1))
+    most = share * different * F.pow(F.lit(1.0) + F.log(F.greatest(often, F.lit(1.0))), F.lit(2.0))
     return (different > 0) & (strangers <= most + 1e-6)
 
 

@@ -3,8 +3,9 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
-from quillsieve.llm.licenses import FILES, TERMS, Templates, op5_license_scan, scan
+from quillsieve.llm.licenses import FILES, TERMS, Templates, _plausible, op5_license_scan, scan
 
 MIT = FILES[0][1]
 ROWS = [
@@ -109,3 +110,19 @@ def test_whole_license_files_and_other_names_and_versions(spark):
     got = {r.path: (r.license, r.found) for r in scan(spark.createDataFrame(rows, "path string, text string")).collect()}
     assert got["m/LICENSE"] == ("MIT", "file") and got["m/x.py"] == ("MIT", "inherited") and got["b/LICENSE"] == ("BSD-3-Clause", "file")
     assert got["o/gpl2.py"] == got["o/style.py"] == (None, None)
+
+
+def test_texts_of_common_words_are_not_taken_apart(spark):
+    templates = Templates()
+    common = ["the", "of", "and", "to", "in", "is", "for", "this", "any", "software"]
+    usual = common * 8 + [f"word{i}" for i in range(120)]
+    # At the bound: a template with as many strangers as its cosine allows.
+    near = re.findall(TERMS, MIT.lower())
+    vector = {t: (1 + math.log(n)) * templates.weights[t] for t, n in Counter(near).items()}
+    spare = int((1 / 0.8**2 - 1) * sum(v * v for v in vector.values()) / templates.unknown**2)
+    rows = [("usual", usual), ("license", near), ("near", near + [f"x{i}" for i in range(spare)])]
+    df = spark.createDataFrame(rows, "name string, tokens array<string>")
+    kept = {r.name for r in df.where(_plausible(F.col("tokens"), templates, 0.8)).collect()}
+    assert kept == {"license", "near"}
+    files = spark.createDataFrame([("n/LICENSE", " ".join(rows[2][1]))], "path string, text string")
+    assert result(scan(files))["n/LICENSE"][0] == "MIT"
