@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -172,10 +172,29 @@ def _run_line(raw: str) -> tuple:
     )
 
 
+#: Characters of lines parsed together: a batch's fields are never all held beside its lines.
+PARSED_CHARS = 1024 * 1024
+
+
+def _in_parts(raw: pd.Series) -> Iterator[list[str | None]]:
+    """The lines of a batch in lists of a bounded length; a longer line is a list of its own."""
+    part, size = [], 0
+    for line in raw:
+        length = len(line or "")
+        if part and size + length > PARSED_CHARS:
+            yield part
+            part, size = [], 0
+        part.append(line)
+        size += length
+    yield part
+
+
 @F.pandas_udf(RUN_LINE)
-def parse_run_line(raw: pd.Series) -> pd.DataFrame:
+def parse_run_line(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     """Fields of one result line, with flags for how far its keys are complete."""
-    return pd.DataFrame([_run_line(r) for r in raw], columns=RUN_LINE.fieldNames())
+    for raw in batches:
+        for part in _in_parts(raw):
+            yield pd.DataFrame([_run_line(r) for r in part], columns=RUN_LINE.fieldNames())
 
 
 def run_lines(raw: DataFrame, value: str = "value") -> DataFrame:

@@ -130,3 +130,18 @@ def test_clusters(spark):
     legend = colour_legend(cluster_table(fixed)).collect()
     assert [r.average_score for r in legend] == [5.0, 4.0, 3.0, 2.0, 1.0, 0.0]
     assert (legend[0].clusters, legend[-1].clusters, legend[0].average_shown) == ("1: tax", "0: sun", "5.0")
+
+
+def test_run_lines_are_parsed_in_bounded_parts():
+    import json
+
+    import pandas as pd
+
+    from quillsieve.sources import readers
+
+    line = lambda n: json.dumps({"model": "m", "language": "l", "input_text": "x" * n})
+    raw = pd.Series([line(readers.PARSED_CHARS // 4) for _ in range(10)] + [None, line(3 * readers.PARSED_CHARS), "", line(1)])
+    parts = list(readers.parse_run_line.func(iter([raw, pd.Series([], dtype=object)])))
+    assert max(len(part) for part in parts) <= 4
+    whole = pd.concat(parts)
+    assert len(whole) == len(raw) and list(whole["has_model_language"]) == [bool(r) for r in raw]
