@@ -32,8 +32,6 @@ from quillsieve.sizing import partitions_for
 ROWS_PER_TASK = 4096
 #: Bytes of vectors that a task holds for the small batches it steps through.
 RUN_BYTES = 32 * 1024 * 1024
-#: Labelled rows a head is fitted on. Of more a repeatable sample is taken, by a hash of the index.
-MAX_ROWS = 1_000_000
 GRADIENT_BYTES = 512 * 1024 * 1024
 
 
@@ -200,11 +198,12 @@ def train_head(
     vector: str = "embedding",
     label: str = "score",
     index: str = INDEX,
-    max_rows: int = MAX_ROWS,
+    max_rows: int | None = None,
 ) -> tuple[Head, DataFrame]:
     """Train a head on rows with a vector, a label and a unique ``index``.
 
-    At most about ``max_rows`` rows are fitted, so the number of steps is bounded too.
+    All rows are fitted. Only where ``max_rows`` is given and there are more, a repeatable sample of
+    about that many is taken, by a hash of ``index``.
 
     Returns the head and the loss before each step (``epoch, step, num_rows, loss``). Each epoch
     visits all batches in a new order. The same rows and seed give the same weights: a batch is
@@ -214,7 +213,7 @@ def train_head(
     total, input_dim = examples.agg(F.count(F.lit(1)), F.max(F.size(vector))).first()
     if not total:
         raise ValueError("no examples to train on")
-    if total > max_rows:
+    if max_rows is not None and total > max_rows:
         share = F.lit(int((1 << 40) * (max_rows / total)))
         examples = examples.filter(F.pmod(F.xxhash64(F.col(index), F.lit(seed + 2)), F.lit(1 << 40)) < share)
         total = max_rows

@@ -112,3 +112,10 @@ def test_small_batches_share_jobs_and_give_the_same_weights(spark, examples, mon
     assert np.array_equal(together.w1, by_threes.w1) and np.array_equal(together.w2, by_threes.w2) and together.b2 == by_threes.b2
     assert seen == seen_again and len(seen) > 40
     assert jobs < len(seen) / 2
+
+
+def test_all_rows_are_fitted_unless_a_number_is_given(spark):
+    total = 1_000_400
+    rows = spark.range(total).select(F.array(F.col("id") / total).alias("embedding"), F.lit(1.0).alias("score"), F.col("id").alias("row_index"))
+    _, history = training.train_head(rows, "h", "e", hidden_dim=2, batch_size=4096)
+    assert history.agg(F.sum("num_rows")).first()[0] == total
