@@ -3,7 +3,8 @@
 The encoder is frozen, so texts are embedded once. Vectors are written once, grouped into
 mini-batches; a step reads only the files of its batch, sums gradients on the executors, and
 the driver, which holds nothing but the weights, takes an Adam step. Steps on small batches
-follow each other in one task for a bounded number of rows, which hands on weights and optimiser.
+follow each other in one task for a bounded number of rows, which hands on weights and optimiser;
+their vectors are stored by such runs of steps, anew for the order of each epoch.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -25,8 +28,8 @@ from quillsieve.functions.display import clamp
 from quillsieve.operators.heads import Head
 from quillsieve.operators.layout import INDEX, positional_split
 from quillsieve.operators.position import with_ordered_index
-from quillsieve.session import materialise
-from quillsieve.sizing import partitions_for
+from quillsieve.session import drop_folder, materialise, new_folder
+from quillsieve.sizing import partitions_for, small_side
 
 #: Rows of a mini-batch one task takes, and bytes of gradients the driver may hold at once.
 ROWS_PER_TASK = 4096
@@ -122,18 +125,34 @@ def _unflatten(flat: np.ndarray, like: list[np.ndarray]) -> list[np.ndarray]:
     return out
 
 
-def mini_batches(examples: DataFrame, steps: int, slots: int, seed: int, vector: str, label: str, index: str) -> DataFrame:
+def _dealt(examples: DataFrame, steps: int, slots: int, seed: int, vector: str, label: str, index: str) -> DataFrame:
     """Examples dealt at random, but repeatably, into batches, and each batch into task slots."""
-    dealt = examples.select(
-        F.col(vector).cast("array<double>").alias("x"),
+    narrow = examples.schema[vector].dataType.simpleString() == "array<float>"
+    return examples.select(
+        F.col(vector).alias("x") if narrow else F.col(vector).cast("array<double>").alias("x"),
         F.col(label).cast("double").alias("y"),
         F.col(index).alias("i"),
         F.pmod(F.xxhash64(F.col(index), F.lit(seed)), F.lit(steps)).cast("int").alias("batch"),
         F.pmod(F.xxhash64(F.col(index), F.lit(seed + 1)), F.lit(slots)).cast("int").alias("slot"),
     ).filter("x IS NOT NULL AND y IS NOT NULL")
+
+
+def mini_batches(examples: DataFrame, steps: int, slots: int, seed: int, vector: str, label: str, index: str) -> DataFrame:
+    """Examples dealt into batches and slots, and stored by batch."""
+    dealt = _dealt(examples, steps, slots, seed, vector, label, index)
     return materialise(dealt.repartition(*partitions_for(dealt), "batch", "slot"), "batches", partition_by=("batch",))
 
 
+def _stored_by_run(dealt: DataFrame, order: np.ndarray, run: int, folder: str) -> DataFrame:
+    """Dealt rows in one folder for each ``run`` batches that follow each other in ``order``."""
+    if run >= len(order):
+        placed = dealt.withColumn("run", F.lit(0))
+    else:
+        runs = pa.table({"batch": pa.array(order, pa.int32()), "run": pa.array(np.arange(len(order)) // run, pa.int32())})
+        placed = dealt.join(small_side(dealt.sparkSession.createDataFrame(runs)), "batch")
+    return materialise(placed.repartition(*partitions_for(placed), "run"), partition_by=("run",), path=folder)
+
+
 _PARTIAL = "slot int, num_rows long, loss double, flat binary"
 
 
@@ -150,40 +169,72 @@ def _partial_gradients(batch: DataFrame, sent: Broadcast) -> list[Row]:
 
 
 _RUN = "step int, num_rows long, loss double, state binary"
+_HISTORY = pa.schema([("epoch", pa.int32()), ("step", pa.int32()), ("num_rows", pa.int64()), ("loss", pa.float64())])
+
+
+def _matrix(vectors: pa.ChunkedArray) -> np.ndarray:
+    """A column of equally long lists as rows of numbers."""
+    if len(lengths := pc.unique(pc.list_value_length(vectors))) != 1:
+        raise ValueError(f"vectors of different lengths: {lengths.to_pylist()}")
+    return pc.list_flatten(vectors).to_numpy().reshape(len(vectors), -1).astype("float64")
 
 
-def _run_of_steps(batches: DataFrame, numbers: list[int], weights: list[np.ndarray], adam: Adam) -> tuple[list[tuple], list[np.ndarray], Adam]:
-    """Adam steps on some small batches, one after the other in one task.
+def _run_of_steps(batches: DataFrame, numbers: np.ndarray, weights: list[np.ndarray], adam: Adam) -> tuple[pa.Table | None, list[np.ndarray], Adam]:
+    """Adam steps on some small batches, which are all of the rows given, one after the other in one task.
 
     Returns each step's batch, rows and loss, and the weights and optimiser after the last. A
     step needs the weights of the step before it, so more tasks could not share them.
     """
     sent = batches.sparkSession.sparkContext.broadcast((weights, adam))
 
-    def steps(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found = [part for part in parts if len(part)]
+    def steps(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [part for part in parts if part.num_rows]
         if not found:
             return
-        by_batch = dict(tuple(pd.concat(found).groupby("batch")))
+        rows = pa.Table.from_batches(found)
+        x, y, index = _matrix(rows["x"]), rows["y"].to_numpy(), rows["i"].to_pandas()
+        by_batch = index.groupby(rows["batch"].to_numpy()).indices
         # Copied, as a task that is run again starts from the same state.
         now, own, out = *copy.deepcopy(sent.value), []
         for number in numbers:
-            rows = by_batch.get(number)
-            if rows is None:
+            if number not in by_batch:
                 continue
-            rows = rows.sort_values("i")
-            loss, gradients = gradient_sums(now, np.stack(rows["x"].to_numpy()), rows["y"].to_numpy())
-            now = own.step(now, [g / len(rows) for g in gradients])
-            out.append([number, len(rows), loss / len(rows), None])
-        out[-1][-1] = pickle.dumps((now, own))
-        yield pd.DataFrame(out, columns=["step", "num_rows", "loss", "state"])
-
-    chosen = batches.filter(F.col("batch").isin(numbers)).select("batch", "i", "x", "y")
-    taken = chosen.coalesce(1).mapInPandas(steps, _RUN).collect()
+            taken = index.iloc[by_batch[number]].sort_values().index.to_numpy()
+            loss, gradients = gradient_sums(now, x[taken], y[taken])
+            now = own.step(now, [g / len(taken) for g in gradients])
+            out.append((number, len(taken), loss / len(taken), None))
+        out[-1] = (*out[-1][:-1], pickle.dumps((now, own)))
+        types = (pa.int32(), pa.int64(), pa.float64(), pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*out), types)], ["step", "num_rows", "loss", "state"])
+
+    taken = batches.select("batch", "i", "x", "y").coalesce(1).mapInArrow(steps, _RUN).toArrow()
     sent.unpersist()
-    if not taken:
-        return [], weights, adam
-    return [(r["step"], r["num_rows"], r["loss"]) for r in taken], *pickle.loads(taken[-1]["state"])
+    if not taken.num_rows:
+        return None, weights, adam
+    return taken.drop_columns("state"), *pickle.loads(taken["state"][-1].as_py())
+
+
+def _small_steps(dealt: DataFrame, steps: int, run: int, epochs: int, seed: int, weights: list[np.ndarray], adam: Adam) -> tuple[list[pa.Table], list[np.ndarray]]:
+    """All epochs of steps on batches so small that one task takes ``run`` of them.
+
+    Every epoch takes the batches in an order of its own, so it stores the rows by its own runs,
+    from those of the epoch before, which are then deleted. One run holds any order.
+    """
+    spark = dealt.sparkSession
+    order, history, folder = np.random.default_rng(seed), [_HISTORY.empty_table()], None
+    for epoch in range(epochs):
+        numbers = order.permutation(steps)
+        if folder is None or run < steps:
+            before, folder = folder, new_folder(spark, "batches")
+            stored = _stored_by_run(dealt, numbers, run, folder)
+            if before:
+                drop_folder(spark, before)
+            dealt = stored.drop("run")
+        for k, start in enumerate(range(0, steps, run)):
+            taken, weights, adam = _run_of_steps(stored.filter(F.col("run") == k), numbers[start : start + run], weights, adam)
+            if taken is not None:
+                history.append(taken.add_column(0, "epoch", pa.array(np.full(len(taken), epoch, "int32"))).cast(_HISTORY))
+    return history, weights
 
 
 def train_head(
@@ -221,28 +272,27 @@ def train_head(
     weights = initial_weights(input_dim, hidden_dim, seed)
     gradient_bytes = 8 * sum(w.size for w in weights)
     slots = max(1, min(math.ceil(batch_size / ROWS_PER_TASK), GRADIENT_BYTES // gradient_bytes))
-    batches = mini_batches(examples, steps, slots, seed, vector, label, index)
     adam = Adam(rate)
-    order = np.random.default_rng(seed)
-    history = []
-    run = max(1, RUN_BYTES // (8 * max(1, input_dim) * batch_size)) if slots == 1 else 1
-    for epoch in range(epochs):
-        numbers = [int(step) for step in order.permutation(steps)]
-        if slots == 1:
-            for start in range(0, steps, run):
-                taken, weights, adam = _run_of_steps(batches, numbers[start : start + run], weights, adam)
-                history += [(epoch, *step) for step in taken]
-            continue
-        for step in numbers:
-            sent = spark.sparkContext.broadcast(weights)
-            parts = _partial_gradients(batches.filter(F.col("batch") == step), sent)
-            sent.unpersist()
-            if not parts:
-                continue
-            parts.sort(key=lambda r: r["slot"])
-            count = sum(r["num_rows"] for r in parts)
-            flat = sum(np.frombuffer(r["flat"]) for r in parts) / count
-            history.append((epoch, step, count, sum(r["loss"] for r in parts) / count))
-            weights = adam.step(weights, _unflatten(flat, weights))
+    if slots == 1:
+        dealt = _dealt(examples, steps, slots, seed, vector, label, index)
+        run = max(1, RUN_BYTES // (8 * max(1, input_dim) * batch_size))
+        history, weights = _small_steps(dealt, steps, run, epochs, seed, weights, adam)
+    else:
+        batches = mini_batches(examples, steps, slots, seed, vector, label, index)
+        order = np.random.default_rng(seed)
+        taken = []
+        for epoch in range(epochs):
+            for step in order.permutation(steps):
+                sent = spark.sparkContext.broadcast(weights)
+                parts = _partial_gradients(batches.filter(F.col("batch") == int(step)), sent)
+                sent.unpersist()
+                if not parts:
+                    continue
+                parts.sort(key=lambda r: r["slot"])
+                count = sum(r["num_rows"] for r in parts)
+                flat = sum(np.frombuffer(r["flat"]) for r in parts) / count
+                taken.append((epoch, int(step), count, sum(r["loss"] for r in parts) / count))
+                weights = adam.step(weights, _unflatten(flat, weights))
+        history = [pa.Table.from_pylist([dict(zip(_HISTORY.names, row)) for row in taken], _HISTORY)]
     head = Head(name, encoder_id, weights[0], weights[1], weights[2], float(weights[3][0]))
-    return head, spark.createDataFrame(history, "epoch int, step int, num_rows long, loss double")
+    return head, spark.createDataFrame(pa.concat_tables(history).combine_chunks())

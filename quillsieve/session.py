@@ -77,14 +77,14 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_folder(spark), "quillsieve", spark.sparkContext.applicationId, f"{label}-{uuid.uuid4().hex}")
 
 
-def materialise(df: DataFrame, label: str = "table", partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back.
+def materialise(df: DataFrame, label: str = "table", partition_by: tuple[str, ...] = (), path: str | None = None) -> DataFrame:
+    """Write ``df`` once to the shared folder, or to a new ``path`` there, and read it back.
 
     The written table cuts the lineage and survives the loss of executors, so values that
     could differ between two evaluations (task ids, answers of a responder) are fixed.
     """
     spark = df.sparkSession
-    path = new_folder(spark, label)
+    path = path or new_folder(spark, label)
     writer = df.write.mode("error")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -92,8 +92,12 @@ def materialise(df: DataFrame, label: str = "table", partition_by: tuple[str, ..
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    """Delete one intermediate table, once nothing reads it any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def drop_materialised(spark: SparkSession) -> None:
     """Delete the intermediate tables of this application, once their results are written."""
-    root = os.path.join(shared_folder(spark), "quillsieve", spark.sparkContext.applicationId)
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    drop_folder(spark, os.path.join(shared_folder(spark), "quillsieve", spark.sparkContext.applicationId))

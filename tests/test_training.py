@@ -1,3 +1,5 @@
+import os
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -6,6 +8,7 @@ from quillsieve.operators import training
 from quillsieve.operators.heads import Head, load_heads, save_heads, score_expression
 from quillsieve.operators.annotate import annotate_vectors
 from quillsieve.plans.catalog import fixtures as fx
+from quillsieve.plans.catalog.evaluation import EPOCHS, train_progress
 from quillsieve.plans.catalog.layout import indexed
 
 
@@ -119,3 +122,35 @@ def test_all_rows_are_fitted_unless_a_number_is_given(spark):
     rows = spark.range(total).select(F.array(F.col("id") / total).alias("embedding"), F.lit(1.0).alias("score"), F.col("id").alias("row_index"))
     _, history = training.train_head(rows, "h", "e", hidden_dim=2, batch_size=4096)
     assert history.agg(F.sum("num_rows")).first()[0] == total
+
+
+def test_train_progress_takes_every_row(spark, tmp_path):
+    total = 1_000_400
+    rows = spark.range(total).select(F.col("id").alias("vec_id"), F.array((F.col("id") / total).cast("float")).alias("embedding"), F.lit(1).alias("label"))
+    rows.write.parquet(str(tmp_path / "embeddings.parquet"))
+    found = train_progress(spark, str(tmp_path)).select("epoch", "rows_seen").collect()
+    assert sorted(map(tuple, found)) == [(epoch, total) for epoch in range(EPOCHS)]
+
+
+def test_small_batches_are_stored_by_run_for_one_epoch(spark, examples, monkeypatch):
+    monkeypatch.setattr(training, "RUN_BYTES", 3 * 8 * 64 * 10)
+    stored_by_run, stored = training._stored_by_run, []
+
+    def watched(dealt, order, run, folder):
+        table = stored_by_run(dealt, order, run, folder)
+        stored.append((folder, len(order), {os.path.dirname(file) for file in table.inputFiles()}))
+        return table
+
+    monkeypatch.setattr(training, "_stored_by_run", watched)
+    head, history = training.train_head(examples, "h", "hashing-64", hidden_dim=4, rate=0.05, batch_size=10, epochs=3, seed=3)
+    assert [os.path.exists(folder) for folder, _, _ in stored] == [False, False, True]
+    assert all(len(folders) == -(-steps // 3) for _, steps, folders in stored)
+    wanted = by_hand(spark, examples, stored[0][1], 1, 4, 0.05, 3, 3)
+    np.testing.assert_allclose(head.w1, wanted[0], rtol=1e-9, atol=1e-11)
+    assert history.count() == 3 * stored[0][1]
+
+
+def test_vectors_of_different_lengths_are_an_error(spark):
+    rows = spark.createDataFrame([([1.0, 2.0], 1.0, 0), ([1.0, 2.0, 3.0, 4.0], 1.0, 1), ([1.0, 2.0], 1.0, 2)], "embedding array<double>, score double, row_index long")
+    with pytest.raises(Exception, match="different lengths"):
+        training.train_head(rows, "h", "e", hidden_dim=2)
