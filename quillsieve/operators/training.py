@@ -205,7 +205,9 @@ def _run_of_steps(batches: DataFrame, numbers: np.ndarray, weights: list[np.ndar
             out.append((number, len(taken), loss / len(taken), None))
         out[-1] = (*out[-1][:-1], pickle.dumps((now, own)))
         types = (pa.int32(), pa.int64(), pa.float64(), pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*out), types)], ["step", "num_rows", "loss", "state"])
+        # A loss that is no number is null in the history.
+        columns = [pa.array(v, t, from_pandas=True) for v, t in zip(zip(*out), types)]
+        yield pa.RecordBatch.from_arrays(columns, ["step", "num_rows", "loss", "state"])
 
     taken = batches.select("batch", "i", "x", "y").coalesce(1).mapInArrow(steps, _RUN).toArrow()
     sent.unpersist()

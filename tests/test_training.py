@@ -154,3 +154,11 @@ def test_vectors_of_different_lengths_are_an_error(spark):
     rows = spark.createDataFrame([([1.0, 2.0], 1.0, 0), ([1.0, 2.0, 3.0, 4.0], 1.0, 1), ([1.0, 2.0], 1.0, 2)], "embedding array<double>, score double, row_index long")
     with pytest.raises(Exception, match="different lengths"):
         training.train_head(rows, "h", "e", hidden_dim=2)
+
+
+def test_losses_that_are_no_number_are_null(spark):
+    rows = spark.createDataFrame([([1.0, None], 1.0, 0), ([1.0, 3.0], 2.0, 1)], "embedding array<float>, score double, row_index long")
+    _, history = training.train_head(rows, "h", "e", hidden_dim=2)
+    assert [tuple(r) for r in history.collect()] == [(0, 0, 2, None)]
+    unlabelled = rows.withColumn("score", F.lit(None).cast("double"))
+    assert training.train_head(unlabelled, "h", "e", hidden_dim=2)[1].count() == 0
